@@ -33,49 +33,67 @@ def ks(df: DataFrame, value: str, keys: Sequence[str] = (), **kw) -> DataFrame:
     return out.select(*keys, F.lit("ks").alias("test"), "statistic", critical.alias("critical"), (F.col("statistic") > critical).alias("drifted"))
 
 
-def _shares(counts: DataFrame, alpha: float = 0.0) -> DataFrame:
-    t = counts.agg(F.struct(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c"), F.count("*").alias("k")).alias("t"))
-    s = counts.withColumn("_t", t.scalar())
-    p = (F.col("n_ref") + alpha) / (F.col("_t.r") + F.col("_t.k") * alpha)
-    q = (F.col("n_cur") + alpha) / (F.col("_t.c") + F.col("_t.k") * alpha)
-    return s.withColumns({"_p": p, "_q": q})
+def _shares(counts: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
+    """Adds raw shares _p, _q and shares smoothed by alpha, _sp, _sq."""
+    totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c"), F.count("*").alias("_k"))
+    if keys:
+        s = counts.join(totals, list(keys))
+    else:
+        s = counts.withColumn("_t", totals.select(F.struct("_r", "_c", "_k").alias("t")).scalar()).select("*", "_t.*").drop("_t")
+    smooth = F.col("_k") * alpha
+    return s.withColumns(
+        {
+            "_p": F.col("n_ref") / F.col("_r"), "_q": F.col("n_cur") / F.col("_c"),
+            "_sp": (F.col("n_ref") + alpha) / (F.col("_r") + smooth), "_sq": (F.col("n_cur") + alpha) / (F.col("_c") + smooth),
+        }
+    )
 
 
 def _plogp(p: Column, q: Column) -> Column:
     return F.when(p > 0, p * F.ln(p / q)).otherwise(F.lit(0.0))
 
 
-def divergences(counts: DataFrame, alpha: float = 0.5) -> DataFrame:
-    """kl (smoothed by alpha), js distance (base 2, unsmoothed) and chi_square."""
-    s, u = _shares(counts, alpha), _shares(counts)
-    kl = s.agg(F.sum(_plogp(F.col("_p"), F.col("_q"))).alias("kl"))
-    mid = (F.col("_p") + F.col("_q")) / 2
-    expect = F.col("_t.c") * (F.col("n_ref") + F.col("n_cur")) / (F.col("_t.r") + F.col("_t.c"))
-    expect_r = F.col("_t.r") * (F.col("n_ref") + F.col("n_cur")) / (F.col("_t.r") + F.col("_t.c"))
-    chi = (F.col("n_cur") - expect) * (F.col("n_cur") - expect) / expect + (F.col("n_ref") - expect_r) * (F.col("n_ref") - expect_r) / expect_r
-    js = u.agg(
-        F.sqrt(F.greatest(F.sum((_plogp(F.col("_p"), mid) + _plogp(F.col("_q"), mid)) / 2) / F.ln(F.lit(2.0)), F.lit(0.0))).alias("js"),
+def divergences(counts: DataFrame, keys: Sequence[str] = (), alpha: float = 0.5) -> DataFrame:
+    """js distance (base 2), chi_square, number of values, and kl smoothed by alpha."""
+    s = _shares(counts, keys, alpha)
+    p, q = F.col("_p"), F.col("_q")
+    mid = (p + q) / 2
+    both = F.col("n_ref") + F.col("n_cur")
+    want_c = F.col("_c") * both / (F.col("_r") + F.col("_c"))
+    want_r = F.col("_r") * both / (F.col("_r") + F.col("_c"))
+    chi = F.pow(F.col("n_cur") - want_c, 2) / want_c + F.pow(F.col("n_ref") - want_r, 2) / want_r
+    return s.groupBy(*keys).agg(
+        F.sqrt(F.greatest(F.sum((_plogp(p, mid) + _plogp(q, mid)) / 2) / F.ln(F.lit(2.0)), F.lit(0.0))).alias("js"),
         F.sum(chi).alias("chi_square"), F.count("*").alias("n_values"),
+        F.sum(_plogp(F.col("_sp"), F.col("_sq"))).alias("kl"),
     )
-    return js.withColumn("kl", kl.scalar())
 
 
-def categorical(df: DataFrame, value: str, *, threshold: float = 0.1, **kw) -> DataFrame:
-    """Jensen-Shannon distance of a categorical column; drifted above threshold."""
-    d = divergences(side_counts(df, value, **kw))
-    return d.select(
-        F.lit("js").alias("test"), F.col("js").alias("statistic"), F.lit(float(threshold)).alias("critical"), (F.col("js") > threshold).alias("drifted")
-    )
+def _unpivot(df: DataFrame, columns: Sequence[str], kind: str, side: str) -> DataFrame:
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns])
+    return df.select(side, F.explode(cells).alias("e")).select(side, "e.*")
 
 
-def column_drift(df: DataFrame, numeric: Sequence[str], categories: Sequence[str], *, threshold: float = 0.1, **kw) -> DataFrame:
+def column_drift(
+    df: DataFrame, numeric: Sequence[str], categories: Sequence[str], *, threshold: float = 0.1, side: str = "side"
+) -> DataFrame:
     """(column, test, statistic, critical, drifted), one row per column.
 
-    The columns are unpivoted after counting, so each column costs one
-    aggregation of two narrow columns.
+    Numeric columns get the Kolmogorov-Smirnov test, the others the
+    Jensen-Shannon distance. All columns of a kind share one aggregation, and
+    rows are counted per value before they are shuffled.
     """
-    parts = [ks(df, c, **kw).select(F.lit(c).alias("column"), "*") for c in numeric]
-    parts += [categorical(df, c, threshold=threshold, **kw).select(F.lit(c).alias("column"), "*") for c in categories]
+    parts = []
+    if numeric:
+        parts.append(ks(_unpivot(df, numeric, "double", side), "value", ["column"], side=side))
+    if categories:
+        counts = side_counts(_unpivot(df, categories, "string", side), "value", ["column"], side=side)
+        parts.append(
+            divergences(counts, ["column"]).select(
+                "column", F.lit("js").alias("test"), F.col("js").alias("statistic"), F.lit(float(threshold)).alias("critical"),
+                (F.col("js") > threshold).alias("drifted"),
+            )
+        )
     return functools.reduce(DataFrame.unionByName, parts)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.text import words
+from ..functions.text import ngrams_1_2, tokenize, words
 
 MAX_BROADCAST_TERMS = 100_000  # a vocabulary capped at this size may be broadcast
 
@@ -23,13 +23,12 @@ def token_rows(
 
     ``keep_empty`` leaves one row with a NULL term for a text with no token.
     """
-    if ngrams:
-        from ..functions.text import ngrams_1_2, tokenize
-
-        tokens = ngrams_1_2(tokenize(F.col(text), stopwords, min_len))
-    else:
-        tokens = words(F.col(text))
     explode = F.explode_outer if keep_empty else F.explode
+    if ngrams:
+        # The token array is a column of its own: it is used several times.
+        split = df.select(*keep, tokenize(F.col(text), stopwords, min_len).alias("_tokens"))
+        return split.select(*keep, explode(ngrams_1_2(F.col("_tokens"))).alias("term"))
+    tokens = words(F.col(text))
     rows = df.select(*keep, explode(tokens).alias("term"))
     ok = F.length("term") >= min_len
     if stopwords:

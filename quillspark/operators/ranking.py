@@ -79,7 +79,7 @@ def running_totals(
     stay even whatever the distribution.
     """
     keys, sums = list(keys), list(sums)
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    probs = F.expr("array(" + ", ".join(f"{i / buckets}D" for i in range(1, buckets)) + ")")
     # Naming the sums here lets all three uses share one shuffle of df.
     seen = F.when(F.greatest(*[F.col(s) for s in sums], F.lit(0)) >= 0, F.col(value))
     bounds = df.agg(F.percentile_approx(seen, probs, F.lit(10_000)).alias("_bounds"))

@@ -89,3 +89,13 @@ def sequential_split(
         out, F.when(F.col("rank") <= room, names[0]).otherwise(names[1])
     ).drop("rank", "group_size")
     return apart.unionByName(ties).drop("_cut")
+
+
+def split_at_value(
+    df: DataFrame, *, order: str, share: float = 0.8, names: tuple[str, str] = ("reference", "current"), out: str = "side"
+) -> DataFrame:
+    """Like ``sequential_split`` for tables without a row id: rows that share
+    the cut value all go to the later side."""
+    cum = running_totals(df.groupBy(order).agg(F.count("*").alias("n")), order, ["n"])
+    cut = cum.where(F.col("cum_n") > F.floor(F.lit(share) * F.col("all_n"))).agg(F.min(order).alias("at"))
+    return df.withColumn(out, F.when(F.col(order) < cut.scalar(), names[0]).otherwise(names[1]))

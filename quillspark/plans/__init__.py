@@ -1,4 +1,4 @@
 """All registered queries."""
 
 from .base import ORACLES, QUERIES
-from . import weak  # noqa: F401
+from . import evaluation, models, profiling, sampling, texts, weak  # noqa: F401
