@@ -93,3 +93,25 @@ DEFAULT_ASPECTS = "服务、质量、价格等"
 ASPECT_USER = "请分析以下评论的方面级情感：\n\n{text}"
 ERROR_FALLBACK_REASON = "未知"
 ERROR_FALLBACK_FIX = "需要进一步分析"
+ASPECT_SYSTEM = """你是一个专业的方面级情感分析（ABSA）专家。请从评论中提取（方面词，观点词，情感极性）三元组。
+
+**任务说明：**
+- 方面词（Aspect）：评论关注的具体方面，如{aspects}
+- 观点词（Opinion）：描述方面的具体表达，如"很好"、"太差"、"一般"等
+- 情感极性（Sentiment）：正面/负面/中性
+
+**输出格式：**
+严格按照JSON数组格式输出，例如：
+[
+  {"aspect": "服务", "opinion": "态度很好", "sentiment": "正面"},
+  {"aspect": "价格", "opinion": "偏贵", "sentiment": "负面"}
+]
+
+**注意事项：**
+1. 如果没有明确的方面词，使用"整体"作为方面词
+2. 如果同一方面有多个观点，分别提取
+3. 只输出JSON，不要有任何额外解释
+"""
+CASE_HEADER = "**当前误判样本：**\n文本：{text}\n真实标签：{true}\n预测标签：{pred}\n\n**相似误判案例（共{n}条）：**\n"
+CASE_FORMAT = "\n{rank}. 文本：{text}...\n   真实：{true} | 预测：{pred} | 相似度：{similarity}\n"
+CASE_FOOTER = "\n请分析这个误判案例的原因。"

@@ -86,51 +86,34 @@ def smote(
     """Synthetic minority vectors: a row plus a hash-drawn step towards one of
     its k nearest rows of the same class.
 
-    Returns originals (``synthetic`` = false) and new rows. Classes below
-    ``min_class`` rows are raised by plain copies instead (step 0).
+    Classes below int(ratio * majority) are raised to it; classes with fewer
+    than ``min_class`` rows by plain copies. Returns originals and new rows,
+    told apart by ``synthetic``; ``copy`` numbers the new rows of an original.
     """
     from .retrieval import topk_within
 
-    sizes = class_sizes(df, label)
-    majority = sizes.agg(F.max("n").alias("_m"))
+    majority = class_sizes(df, label).agg(F.max("n").alias("_m"))
     target = F.floor(F.lit(ratio) * majority.scalar())
-    ranked = hash_rank(df, [label], id_col, seed)
-    r, n = F.col("rank"), F.col("group_size")
-    extra = F.when(target > n, F.floor((target - n - r) / n) + 1).otherwise(F.lit(0))
-    seeds = replicate(ranked, extra, "copy")
-    small = df.join(
-        _small_classes(sizes, majority, ratio, label), label, "left_semi"
+    ranked = hash_rank(df.select(id_col, label, vector), [label], id_col, seed)
+    small = ranked.where(F.col("group_size") < target)
+    seeds = replicate(small, _cyclic_copies(target) - 1, "copy")
+    key = F.md5(F.concat_ws(":", hash_key(id_col, seed), F.col("copy")))
+    seeds = seeds.select(
+        id_col, label, F.col(vector).alias("_from"), "copy", (F.col("group_size") >= min_class).alias("_step_out"),
+        (draw(key, F.greatest(F.least(F.lit(k), F.col("group_size") - 1), F.lit(1))) + 1).alias("_pick"), (draw(F.md5(key), 1000) / F.lit(1000.0)).alias("_step"),
     )
-    near = topk_within(small, group=label, id_col=id_col, vector=vector, k=k)
-    key = hash_key(F.concat_ws(":", F.col(id_col), F.col("copy")), seed)
-    seeds = seeds.withColumn("_pick", draw(key, F.lit(k)) + 1).withColumn(
-        "_step", F.when(n >= min_class, draw(F.md5(key), 1000) / F.lit(1000.0)).otherwise(F.lit(0.0))
-    )
-    picked = seeds.join(
-        near.select(F.col("query_id").alias(id_col), F.col("rank").cast("bigint").alias("_pick"), "neighbor_id"), [id_col, "_pick"], "left"
+    near = topk_within(small, group=label, id_col=id_col, vector=vector, k=k).select(
+        F.col("query_id").alias(id_col), F.col("rank").cast("bigint").alias("_pick"), "neighbor_id"
     )
     other = df.select(F.col(id_col).alias("neighbor_id"), F.col(vector).alias("_to"))
-    made = picked.join(other, "neighbor_id", "left").select(
-        id_col, label,
-        F.when(
-            F.col("_to").isNull(), F.col(vector)
-        ).otherwise(
-            F.zip_with(vector, "_to", lambda a, b: (a + (b - a) * F.lit(1.0).cast("float")).cast("float"))
-        ).alias("_unused"),
-        F.col(vector).alias("_from"), "_to", "_step", F.lit(True).alias("synthetic"), "copy",
-    ).drop("_unused")
-    made = made.withColumn(
-        vector,
-        F.when(F.col("_to").isNull(), F.col("_from")).otherwise(
-            F.transform(
-                F.arrays_zip("_from", "_to"),
-                lambda p: (p["_from"] + (p["_to"] - p["_from"]) * F.col("_step")).cast("float"),
-            )
-        ),
+    paired = seeds.join(near, [id_col, "_pick"], "left").join(other, "neighbor_id", "left")
+    between = F.transform(
+        F.arrays_zip("_from", "_to"),
+        lambda p: (p["_from"] + (p["_to"] - p["_from"]) * F.col("_step")).cast("float"),
+    )
+    made = paired.select(
+        id_col, label, F.when(F.col("_step_out") & F.col("_to").isNotNull(), between).otherwise(F.col("_from")).alias(vector),
+        F.lit(True).alias("synthetic"), "copy",
     )
     originals = df.select(id_col, label, vector, F.lit(False).alias("synthetic"), F.lit(-1).cast("bigint").alias("copy"))
-    return originals.unionByName(made.select(id_col, label, vector, "synthetic", "copy"))
-
-
-def _small_classes(sizes: DataFrame, majority: DataFrame, ratio: float, label: str) -> DataFrame:
-    return sizes.where(F.col("n") < F.floor(F.lit(ratio) * majority.scalar())).select(label)
+    return originals.unionByName(made)

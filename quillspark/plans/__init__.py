@@ -1,4 +1,4 @@
 """All registered queries."""
 
 from .base import ORACLES, QUERIES
-from . import evaluation, models, profiling, sampling, texts, weak  # noqa: F401
+from . import augmenting, evaluation, models, profiling, responses, sampling, search, texts, weak  # noqa: F401
