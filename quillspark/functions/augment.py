@@ -45,14 +45,19 @@ def random_swap(segs: Column, key: Column, n: int = 1) -> Column:
     size = F.size(segs)
     at = lambda arr, i: F.element_at(arr, (i + 1).cast("int"))
 
-    def exchange(arr: Column, a: Column, b: Column) -> Column:
-        return F.transform(arr, lambda s, i: F.when(i == a, at(arr, b)).when(i == b, at(arr, a)).otherwise(s))
+    def exchange(arr: Column, pair: Column) -> Column:
+        # The pair is bound once; inside the inner lambda it is a variable.
+        swapped = F.transform(
+            F.array(pair),
+            lambda p: F.transform(arr, lambda s, i: F.when(i == p["a"], at(arr, p["b"])).when(i == p["b"], at(arr, p["a"])).otherwise(s)),
+        )
+        return F.element_at(swapped, 1)
 
     out = segs
     for step in range(n):
         a = draw(sub_key(key, "rs-a", step), F.greatest(size, F.lit(1)))
         b = draw(sub_key(key, "rs-b", step), F.greatest(size - 1, F.lit(1)))
-        out = exchange(out, a, F.when(b >= a, b + 1).otherwise(b))
+        out = exchange(out, F.struct(a.alias("a"), F.when(b >= a, b + 1).otherwise(b).alias("b")))
     return F.when(size < 2, _join(segs)).otherwise(_join(out))
 
 
