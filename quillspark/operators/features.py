@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.text import ngrams_1_2, tokenize, words
@@ -97,12 +99,13 @@ def dense_vectors(weights: DataFrame, vocab: DataFrame, size: int, *, id_col: st
     # The vocabulary has at most `size` rows, so one window numbers it.
     slots = vocab.select("term", (F.row_number().over(W.orderBy("term")) - 1).alias("slot"))
     pairs = weights.join(F.broadcast(slots), "term")
-    packed = pairs.groupBy(id_col).agg(
-        F.map_from_entries(F.collect_list(F.struct("slot", value))).alias("_m")
-    )
-    return packed.select(
-        id_col,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0))
-        ).alias("embedding"),
-    )
+    packed = pairs.groupBy(id_col).agg(F.collect_list(F.struct(F.col("slot").cast("double").alias("slot"), F.col(value).alias("w"))).alias("_p"))
+
+    @F.pandas_udf("array<double>")
+    def lay_out(slot: pd.Series, w: pd.Series) -> pd.Series:
+        out = np.zeros((len(slot), size))
+        for row, (at, x) in enumerate(zip(slot, w)):
+            out[row, at.astype(int)] = x
+        return pd.Series(list(out))
+
+    return packed.select(id_col, lay_out(F.col("_p.slot"), F.col("_p.w")).alias("embedding"))

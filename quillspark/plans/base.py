@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -37,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").withColumnRenamed("lang", "domain")
+    return spread(table(spark, sf_dir, "documents"), "doc_id").withColumnRenamed("lang", "domain")
 
 
 def gold(spark, sf_dir) -> DataFrame:

@@ -137,12 +137,16 @@ t as (select doc_id, unnest(case doc_id % 4 when 0 then [(source, word, pol), (l
 tr as (select doc_id, t[1] as aspect, t[2] as opinion, t[3] as sentiment from t)"""
 
 
+def first_word():
+    """The first token of four characters or more."""
+    found = F.regexp_extract(F.lower("text"), r"[\p{L}\p{N}_]{4,}", 0)
+    return F.when(found == "", "none").otherwise(found)
+
+
 def triplet_responses(spark, d):
     """0: fenced array of two, 1: array whose second item lacks a sentiment,
     2: text that is not JSON, 3: a single JSON object."""
-    from ..functions.text import words
-
-    word = F.coalesce(F.try_element_at(F.filter(words(F.col("text")), lambda x: F.length(x) >= 4), F.lit(1)), F.lit("none"))
+    word = first_word()
     base = documents(spark, d).select(
         "doc_id", "source", "domain", word.alias("word"),
         F.element_at(F.array(F.lit("正面"), F.lit("负面"), F.lit("中性")), (F.col("doc_id") % 3 + 1).cast("int")).alias("pol"),
@@ -203,9 +207,7 @@ sc as (select *, case when tp + fp = 0 then 0.0::double else tp / (tp + fp) end
 
 
 def scored_triplets(spark, d):
-    from ..functions.text import words
-
-    word = F.coalesce(F.try_element_at(F.filter(words(F.col("text")), lambda x: F.length(x) >= 4), F.lit(1)), F.lit("none"))
+    word = first_word()
     w = documents(spark, d).select("doc_id", "source", "domain", word.alias("word"))
     tri = lambda a, o, p: F.concat_ws(",", a, o, F.lit(p))
     lit = lambda a, o, p: F.concat(F.lit("('"), a, F.lit("', '"), o, F.lit(f"', '{p}')"))

@@ -61,3 +61,14 @@ def stage(df, name: str):
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, *cols):
+    """Rows of an input with fewer partitions than cores, spread by ``cols``.
+
+    For work that is heavy per row on a table of one or a few files. Only the
+    plan is looked at; a table with enough partitions is returned as it is, so
+    nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *cols) if df.rdd.getNumPartitions() < cores else df
