@@ -37,19 +37,22 @@ def fit(
             for m in names for c in classes
         ]
     )
+    # One row per model and term. The models are split apart only after the
+    # shuffle, so that all of them share one count of the tokens.
+    cells = [
+        F.struct(F.lit(m).alias("model"), *[F.col(f"_{m}_{c}").alias(f"n_{c}") for c in classes]) for m in names
+    ]
+    long = counts.select("term", F.explode(F.array(*cells)).alias("e")).select("term", "e.*")
+    total = functools.reduce(lambda a, b: a + b, [F.col(f"n_{c}") for c in classes])
+    whole = W.partitionBy(F.lit(1))  # at most max_features rows
     parts = []
     for m in names:
-        cols = [F.col(f"_{m}_{c}") for c in classes]
-        total = functools.reduce(lambda a, b: a + b, cols)
-        top = counts.select("term", total.alias("_cnt"), *cols).where(F.col("_cnt") > 0)
-        top = top.orderBy(F.desc("_cnt"), "term").limit(max_features)
-        whole = W.partitionBy(F.lit(1))  # at most max_features rows
-        size = F.count("*").over(whole)
+        top = long.where((F.col("model") == m) & (total > 0)).orderBy(total.desc(), "term").limit(max_features)
         parts.append(
             top.select(
-                F.lit(m).alias("model"), "term",
+                "model", "term",
                 *[
-                    F.ln((F.col(f"_{m}_{c}") + alpha) / (F.sum(f"_{m}_{c}").over(whole) + alpha * size)).alias(f"lp_{c}")
+                    F.ln((F.col(f"n_{c}") + alpha) / (F.sum(f"n_{c}").over(whole) + alpha * F.count("*").over(whole))).alias(f"lp_{c}")
                     for c in classes
                 ],
             )
@@ -144,24 +147,28 @@ def cross_validate(
     The training part of each fold is balanced on its own; the held-out rows
     are never copied into it.
     """
+    from ..session import stage
     from .balance import copies_to_majority
     from .splits import stratified_folds
 
-    folded = stratified_folds(docs, k, id_col=id_col, label=label, seed=seed)
     names = [f"f{i}" for i in range(k)]
+    folded = stratified_folds(docs.select(id_col, label), k, id_col=id_col, label=label, seed=seed)
     if balance:
         # Balance every training part at once: a row appears once per fold it
         # trains in, and the copies are ranked inside (fold, label).
         train = folded.select(id_col, label, "fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_held"))
         train = train.where(F.col("fold") != F.col("_held"))
         copies = copies_to_majority(train, label=label, id_col=id_col, keys=["_held"], seed=seed)
-        wide = copies.groupBy(id_col).agg(
-            *[F.sum(F.when(F.col("_held") == i, F.col("copies")).otherwise(0)).alias(f"_c{i}") for i in range(k)]
+        plan = copies.groupBy(id_col).agg(
+            F.max("fold").alias("fold"),
+            *[F.sum(F.when(F.col("_held") == i, F.col("copies")).otherwise(0)).alias(f"_c{i}") for i in range(k)],
         )
-        folded = folded.join(wide, id_col, "left")
-        weights = {n: F.coalesce(F.col(f"_c{i}"), F.lit(0)) for i, n in enumerate(names)}
     else:
-        weights = {n: (F.col("fold") != i).cast("bigint") for i, n in enumerate(names)}
+        plan = folded.select(id_col, "fold", *[(F.col("fold") != i).cast("bigint").alias(f"_c{i}") for i in range(k)])
+    # Fit, priors and scores all need the plan; it is a few integers per row.
+    plan = stage(plan, "fold-plan")
+    folded = docs.join(plan, id_col)
+    weights = {n: F.col(f"_c{i}") for i, n in enumerate(names)}
     model = fit(folded, weights, label=label, text=text, alpha=alpha, max_features=max_features)
     prior = priors(folded, weights, label=label)
     scored = score(folded, model, prior, names, id_col=id_col, text=text, keep=[label, "fold", *keep])

@@ -76,16 +76,22 @@ def running_totals(
     ``df`` must already be aggregated to one row per (keys, value). Adds
     ``cum_<s>`` (inclusive) and ``all_<s>`` (total of the key). Buckets are
     value ranges between approximate quantiles of the distinct values, so they
-    stay even whatever the distribution.
+    stay even whatever the distribution. ``buckets`` is a power of two.
     """
     keys, sums = list(keys), list(sums)
     probs = F.expr("array(" + ", ".join(f"{i / buckets}D" for i in range(1, buckets)) + ")")
     # Naming the sums here lets all three uses share one shuffle of df.
     seen = F.when(F.greatest(*[F.col(s) for s in sums], F.lit(0)) >= 0, F.col(value))
     bounds = df.agg(F.percentile_approx(seen, probs, F.lit(10_000)).alias("_bounds"))
-    cut = df.withColumn("_bounds", bounds.scalar()).withColumn(
-        "_b", F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col(value))), F.lit(0))
-    ).drop("_bounds")
+    # Number of bounds at or below the value, by bisection: each step is one
+    # projection, which stays inside code generation.
+    cut = df.withColumn("_bounds", bounds.scalar()).withColumn("_b", F.lit(0))
+    step = buckets // 2
+    while step:
+        reached = F.get("_bounds", F.col("_b") + (step - 1)) <= F.col(value)
+        cut = cut.withColumn("_b", F.col("_b") + F.when(reached, step).otherwise(0))
+        step //= 2
+    cut = cut.drop("_bounds")
     totals = cut.groupBy(*keys, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     direction = F.col("_b").desc() if descending else F.col("_b").asc()
     w = W.partitionBy(*keys)
