@@ -8,6 +8,8 @@ same, no task sees more than one bucket.
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -62,6 +64,36 @@ def hash_rank(
     return out if at_most is None else out.where(F.col(rank) <= at_most)
 
 
+MAX_BROADCAST_KEYS = 100  # x 4,096 buckets: about 20 MB of offsets
+
+
+def hash_rank_for_cuts(
+    df: DataFrame, keys: Sequence[str], id_col: str, cuts: Sequence[Column], seed: int | str = 42, *, rank: str = "rank", digits: int = HASH_DIGITS
+) -> DataFrame:
+    """Like ``hash_rank``, for callers that only ask whether rank <= cut.
+
+    ``cuts`` are Columns over ``group_size``. Rows of a bucket that lies wholly
+    on one side of every cut get the first rank of the bucket, which answers
+    the question; only the buckets that hold a cut are ranked. So the table is
+    split without shuffling it: the offsets are broadcast when a check of the
+    number of keys proves them small.
+    """
+    keys = list(keys)
+    bucketed = df.withColumn("_h", hash_key(id_col, seed)).withColumn("_b", F.substring("_h", 1, digits))
+    counts = bucketed.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
+    offsets = _earlier_rows(counts, keys, F.col("_b"), "_n")
+    if df.select(*keys).distinct().limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+        offsets = F.broadcast(offsets)
+    joined = _null_safe(bucketed, offsets, [*keys, "_b"])
+    holds_cut = functools.reduce(
+        operator.or_, [(F.col("_before") < c) & (c < F.col("_before") + F.col("_n")) for c in cuts]
+    )
+    plain = joined.where(~holds_cut).withColumn(rank, (F.col("_before") + 1).cast("bigint"))
+    inside = F.row_number().over(W.partitionBy(*keys, "_b").orderBy("_h", id_col))
+    ranked = joined.where(holds_cut).withColumn(rank, (F.col("_before") + inside).cast("bigint"))
+    return plain.unionByName(ranked).drop("_h", "_b", "_n", "_before")
+
+
 def running_totals(
     df: DataFrame,
     value: str,

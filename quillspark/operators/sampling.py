@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.hashing import chance, hash_key
-from .ranking import _null_safe, hash_rank
+from .ranking import _null_safe, hash_rank, hash_rank_for_cuts
 
 
 def sample_n(df: DataFrame, n: int, *, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -23,8 +23,10 @@ def per_group(df: DataFrame, n: int, *, keys: Sequence[str], id_col: str = "doc_
 def balanced_down(df: DataFrame, *, label: str = "label", id_col: str = "doc_id", seed: int = 42) -> DataFrame:
     """Every class cut to the size of the smallest."""
     smallest = df.groupBy(label).agg(F.count("*").alias("_c")).agg(F.min("_c").alias("_m"))
-    ranked = hash_rank(df, [label], id_col, seed)
-    return ranked.where(F.col("rank") <= smallest.scalar()).drop("rank", "group_size")
+    ranked = hash_rank_for_cuts(
+        df.withColumn("_smallest", smallest.scalar()), [label], id_col, [F.col("_smallest")], seed
+    )
+    return ranked.where(F.col("rank") <= F.col("_smallest")).drop("rank", "group_size", "_smallest")
 
 
 def largest_remainder_quota(counts: DataFrame, n: int, *, key: str, count: str = "n") -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .ranking import hash_rank, running_totals
+from .ranking import hash_rank, hash_rank_for_cuts, running_totals
 
 
 def _test_size(n: Column, share: float) -> Column:
@@ -22,8 +22,9 @@ def _test_size(n: Column, share: float) -> Column:
 
 def stratified_holdout(df: DataFrame, *, id_col: str = "doc_id", label: str = "label", test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` = train / test, the share held per label."""
-    ranked = hash_rank(df, [label], id_col, seed)
-    is_test = F.col("rank") <= _test_size(F.col("group_size"), test_share)
+    size = _test_size(F.col("group_size"), test_share)
+    ranked = hash_rank_for_cuts(df, [label], id_col, [size], seed)
+    is_test = F.col("rank") <= size
     return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("rank", "group_size")
 
 
@@ -33,11 +34,13 @@ def stratified_parts(
     *, id_col: str = "doc_id", label: str = "label", seed: int = 42,
 ) -> DataFrame:
     """Adds ``split`` with several parts; cut points are rounded per label."""
-    ranked = hash_rank(df, [label], id_col, seed)
-    done, out = 0.0, None
-    for name, share in shares[:-1]:
+    done, cuts, out = 0.0, [], None
+    for _, share in shares[:-1]:
         done = round(done + share, 10)
-        hit = F.col("rank") <= F.floor(F.lit(done) * F.col("group_size") + F.lit(0.5))
+        cuts.append(F.floor(F.lit(done) * F.col("group_size") + F.lit(0.5)))
+    ranked = hash_rank_for_cuts(df, [label], id_col, cuts, seed)
+    for (name, _), cut in zip(shares, cuts):
+        hit = F.col("rank") <= cut
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return ranked.withColumn("split", out.otherwise(shares[-1][0])).drop("rank", "group_size")
 
@@ -57,8 +60,9 @@ def rare_class_split(df: DataFrame, *, id_col: str = "doc_id", label: str = "lab
     sizes = df.groupBy(label).agg(F.count("*").alias("_c")).agg(F.min("_c").alias("_smallest"))
     tagged = df.withColumn("_stratify", sizes.scalar() >= 2)
     tagged = tagged.withColumn("_stratum", F.when(F.col("_stratify"), F.col(label).cast("string")).otherwise(F.lit("*")))
-    ranked = hash_rank(tagged, ["_stratum"], id_col, seed)
-    is_test = F.col("rank") <= _test_size(F.col("group_size"), test_share)
+    size = _test_size(F.col("group_size"), test_share)
+    ranked = hash_rank_for_cuts(tagged, ["_stratum"], id_col, [size], seed)
+    is_test = F.col("rank") <= size
     return ranked.withColumn("split", F.when(is_test, "test").otherwise("train")).drop(
         "rank", "group_size", "_stratum", "_stratify"
     )

@@ -223,3 +223,53 @@ def registry(spark, d):
 
     reg = Registry().add("reviews", lambda s: documents(s, d), domain_col="domain")
     return reg.load(spark, "reviews", domains=["en", "fr"]).groupBy("domain", "source").agg(F.count("*").alias("n"))
+
+
+# --- files ------------------------------------------------------------------------------
+
+
+@query("src_csv_round_trip", "select cast(doc_id as varchar) as doc_id, text, lang as domain from documents")
+def csv_round_trip(spark, d):
+    """Reviews written as CSV and read back through the charset ladder."""
+    from ..session import staging_path
+    from ..sources import reviews as RV, sinks as SK
+
+    path = staging_path(spark, "reviews-csv")
+    SK.write_table(documents(spark, d).select("doc_id", F.replace("text", F.lit("\n"), F.lit("\u2028")).alias("text"), "domain"), path, fmt="csv")
+    back = RV.read_reviews(spark, path)
+    return back.withColumn("text", F.replace("text", F.lit("\u2028"), F.lit("\n")))
+
+
+@query("src_partitioned_table", "select source, count(*) as n, cast(sum(n_chars) as bigint) as chars from documents where lang = 'de' group by 1")
+def partitioned_table(spark, d):
+    """A table partitioned by domain; one domain reads one folder."""
+    from ..session import staging_path
+    from ..sources import sinks as SK
+
+    path = staging_path(spark, "reviews")
+    SK.write_table(documents(spark, d).select("source", "n_chars", "domain"), path, partition_by=["domain"])
+    return spark.read.parquet(path).where("domain = 'de'").groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query(
+    "src_json_statistics",
+    """select '{"domain":"' || lang || '","nrows":' || count(*) || '}' as json from documents group by lang""",
+)
+def json_statistics(spark, d):
+    from ..sources import sinks as SK
+
+    return SK.as_json(documents(spark, d).groupBy("domain").agg(F.count("*").alias("nrows")))
+
+
+@query("src_vectors", "select vec_id, round(list_sum(embedding::double[]), 5) as total, cast(len(embedding) as integer) as dims from embeddings")
+def vectors(spark, d):
+    from ..session import staging_path
+    from ..sources import sinks as SK
+
+    path = staging_path(spark, "vectors")
+    SK.write_vectors(table(spark, d, "embeddings"), path)
+    e = spark.read.parquet(path)
+    return rounded(
+        e.select("vec_id", F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"), F.size("embedding").alias("dims")),
+        "total", digits=5,
+    )

@@ -15,7 +15,7 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by:
     """
     if fmt == "csv":
         df = df.select(*[F.array_join(c, " ").alias(c) if t.startswith("array<string") else F.col(c) for c, t in df.dtypes])
-        w = df.write.option("header", True).option("encoding", "UTF-8")
+        w = df.write.option("header", True).option("encoding", "UTF-8").option("escape", '"')
     else:
         w = df.write
     if partition_by:

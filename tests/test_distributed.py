@@ -46,6 +46,19 @@ def test_hash_rank_limit(df, rows):
     assert {r["doc_id"] for r in RK.hash_rank(df, ["label"], "doc_id", at_most=5).collect()} == want
 
 
+@pytest.mark.parametrize("digits", [1, 3])
+def test_ranks_for_cuts_decide_alike(df, rows, digits):
+    cuts = [F.floor(F.col("group_size") * 0.3), F.lit(7)]
+    got = RK.hash_rank_for_cuts(df, ["label"], "doc_id", cuts, digits=digits).collect()
+    want = brute_ranks(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        rank, size = want[r["doc_id"]]
+        assert r["group_size"] == size
+        for cut in (int(size * 0.3), 7):
+            assert (r["rank"] <= cut) == (rank <= cut)
+
+
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals(df, rows, descending):
     counts = df.groupBy("label", "v").agg(F.count("*").alias("n"))
