@@ -94,7 +94,7 @@ def valid_metrics(spark, d):
 
 @query(
     "prompt_error_cases",
-    f"""with {_CASES}, er as (select distinct query_id as vec_id, query_label as label, query_pred as pred from cases), ev as (select er.*, e.v from er join e using (vec_id)),
+    f"""with {_CASES}, er as (select distinct query_id as vec_id, query_label as label, query_pred as pred from cases), ev as (select er.*, e.v from er join e using (vec_id) where vec_id in (select doc_id from documents)),
 qs as (select * from ev order by md5(concat(cast(vec_id as varchar), '-42')), vec_id limit 50), {_top_sql(q='qs', c='ev', k=3, name='near')},
 j as (select n.*, q.label as ql, q.pred as qp, b.label as nl, b.pred as np, dq.text as qt, db.text as nt from near n join ev q on n.query_id = q.vec_id join ev b on n.neighbor_id = b.vec_id
   join documents dq on dq.doc_id = n.query_id join documents db on db.doc_id = n.neighbor_id)
