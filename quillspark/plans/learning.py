@@ -1,11 +1,10 @@
 """Queries: linear models, calibration fits, topic models."""
 
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator  # noqa: F401
 from pyspark.sql import functions as F
 
 from ..operators import balance as B, calibrate as C, linear as LI, metrics as M, splits as SP, topics as TP
 from ..session import stage
-from .base import LAB, TOKENS, documents, h, hint, labelled, query, rank, rounded, table
+from .base import TOKENS, documents, labelled, query, rank, rounded
 
 VOCAB = 2000
 

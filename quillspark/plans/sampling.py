@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import balance as B, sampling as S, splits as SP
-from ..operators.ranking import _null_safe, top_n
+from ..operators.ranking import top_n
 from .base import LAB, PRED, documents, h, hint, labelled, predictions, query, rank, rounded, table
 
 _R = f"r as (select *, {rank('label')} as rk, count(*) over (partition by label) as n from lab)"
@@ -110,9 +110,7 @@ def errors_per_group(spark, d):
 @query("smp_domain_errors", f"with {PRED} select id, domain, event_type from pred where label <> pred and (domain ilike '%D1%' or event_type ilike '%err%') order by id limit 100")
 def domain_errors(spark, d):
     wrong = predictions(spark, d).where("label <> pred").select("id", "domain", "event_type")
-    return S.domain_errors(wrong, "D1|err", 100, columns=["domain", "event_type"], id_col="id").where(
-        F.col("domain").rlike("(?i)D1") | F.col("event_type").rlike("(?i)err")
-    )
+    return S.domain_errors(wrong, "D1|err", 100, columns=["domain", "event_type"], id_col="id")
 
 
 @query(

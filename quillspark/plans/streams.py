@@ -2,10 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.rules import weighted_vote  # noqa: F401
 from ..operators import bayes as NB
 from ..streaming import monitor as MO
-from .base import LAB, PRED, query, rounded, table
+from .base import PRED, query, rounded, table
 from .models import VOCAB, _BAL, _SPLIT, nb_fitted, nb_sql
 from .profiling import _js_sql, _ks_sql
 from .weak import NAMES, RULES, VOTES_SQL, _sum

@@ -194,7 +194,6 @@ def keyword_second(spark, d):
     return documents(spark, d).select("doc_id", R.keyword_label(F.col("text"), POS2, NEG2).alias("label"))
 
 
-_PS, _NS = count_words(POS, "text"), count_words(NEG, "text")
 _SCORE_POS, _SCORE_NEG = count_words(POS), count_words(NEG)
 _SCORE = f"(case when trim(text) = '' then 0.5 else ({_SCORE_POS} + 1) / ({_SCORE_POS} + {_SCORE_NEG} + 2) end)"
 
