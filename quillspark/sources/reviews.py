@@ -87,15 +87,18 @@ def read_reviews(
         path, schema=full, header=header, sep=sep, encoding=_java(charset), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
         multiLine=multi_line, escape='"', enforceSchema=True,
     )
-    return df if keep_malformed else df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return df if keep_malformed else df.where(F.col(CORRUPT).isNull() & _parsed(df)).drop(CORRUPT)
+
+
+def _parsed(df: DataFrame):
+    """Always true, but needs a data column: Spark refuses a CSV scan that asks
+    for the malformed column alone, as a plain count would."""
+    return F.length(F.coalesce(F.col(df.columns[0]).cast("string"), F.lit(""))) >= 0
 
 
 def malformed_counts(df: DataFrame) -> DataFrame:
     """(rows, malformed) of a table read with ``keep_malformed``."""
-    # Spark refuses a CSV scan that needs the malformed column alone.
-    first = F.coalesce(F.col(df.columns[0]).cast("string"), F.lit(""))
-    parsed = F.length(F.concat(first, F.coalesce(CORRUPT, F.lit("")))) >= 0
-    return df.agg(F.count_if(parsed).alias("rows"), F.count(CORRUPT).alias("malformed"))
+    return df.agg(F.count_if(_parsed(df)).alias("rows"), F.count(CORRUPT).alias("malformed"))
 
 
 def read_triplets(spark: SparkSession, path: str) -> DataFrame:

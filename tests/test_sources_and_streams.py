@@ -41,6 +41,7 @@ def test_malformed_lines(spark, tmp_path):
     f.write_text('label,review\n1,ok\n0,too,many,fields\n1,"with, comma"\n')
     assert [r["review"] for r in RV.read_reviews(spark, str(f)).collect()] == ["ok", "with, comma"]
     assert [r["label"] for r in RV.read_reviews(spark, str(f)).select("label").collect()] == ["1", "1"]
+    assert RV.read_reviews(spark, str(f)).count() == 2
     kept = RV.read_reviews(spark, str(f), keep_malformed=True)
     assert tuple(RV.malformed_counts(kept).first()) == (3, 1)
 
