@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, wavelet
+from . import mixing, packing, va_search, warc, wavelet
 from .common import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,37 @@ def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_token_files(files).select("doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op5_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_warc(table(spark, sf_dir, "pages"))
+    return warc.records(warc.read_warc(files, with_data=False))
+
+
+ORACLES["op5_warc_chunks"] = """
+with p as (select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as payload_bytes from pages),
+q as (select *, min(page_id) over (partition by html) as first from p)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, sha256(html) as payload_digest,
+  case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 100 and page_id <> first then first end as refers_to from q"""
+
+
+@query
+def op6_va_file_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = va_search.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    rows = rows.select("id", F.transform("v", lambda x: F.floor(x * 256).cast("double")).alias("v"))
+    got = va_search.topk(rows.where("id % 50 = 0"), rows, k=5)
+    return got.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+
+
+ORACLES["op6_va_file_topk"] = """
+with v as (select vec_id, [floor(256 * cast(x as double)) for x in embedding] as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
+
+
 @query
 def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placements, _ = packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
