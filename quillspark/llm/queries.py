@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, va_search, warc, wavelet
+from . import adaptive_rules, crf, ftrl, mixing, packing, va_search, warc, wavelet
 from .common import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,58 @@ r as (select *, row_number() over (partition by query_id order by score desc, ve
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
 
 
+def fold(parts: int, held: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == held, F.lit(False))
+
+
+@query
+def op7_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = crf.fit(docs.where(~fold(4, 2)).select("doc_id", "text", "lang"))
+    return crf.detect(docs.select("doc_id", fold(4, 2).alias("held_out"), "text"), model)
+
+
+@query
+def op8_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~fold(3, 1)).select("doc_id", F.col("quality").alias("label"))
+    scored = ftrl.score(docs, ftrl.fit(docs, labels))
+    return scored.select("doc_id", fold(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = adaptive_rules.judge(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op9_adaptive_rules"] = r"""
+with t as (select row_number() over () as r, doc_id, lang, source, coalesce(text, '') as text from documents),
+w as (select r, [x for x in string_split_regex(text, '[\x20\x09-\x0D]+') if x <> ''] as ws, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls from t),
+p as (select r, unnest(ws) as w0, unnest(range(len(ws))) as i from w),
+g as (select r, i, w0, lead(w0) over o as w1, lead(w0, 2) over o as w2 from p window o as (partition by r order by i)),
+d as (select r, i, count(*) over (partition by r, w0, w1, w2) as n from g where w2 is not null),
+c as (select r, count(distinct i + k) as n_repeat_words from d, range(3) as s(k) where n >= 2 group by r),
+m as (select t.*, cast(len(ws) as bigint) as n_words, cast(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+  cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, len(ls) as n_lines,
+  cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
+  from t join w using (r) left join c using (r)),
+f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+  [1000 * n_symbols // greatest(word_chars, 1), 1000 * n_repeat_words // greatest(n_words, 1), 1000 * n_dup_lines // greatest(n_lines, 1),
+   100 * word_chars // greatest(n_words, 1)] as v from m),
+e as (select lang, source, unnest([1, 2, 3, 4]) as k, unnest(v) as x from f where not base_failed),
+b as (select lang, source, k, (x >> greatest(length(bin(x)) - 8, 0)) << greatest(length(bin(x)) - 8, 0) as x from e),
+l as (select 1 as level, lang, source, k, x from b union all select 2, lang, null, k, x from b union all select 3, null, null, k, x from b),
+u as (select level, lang, source, k, x, sum(count(*)) over (partition by level, lang, source, k order by x) as upto, sum(count(*)) over (partition by level, lang, source, k) as n
+  from l group by level, lang, source, k, x),
+q as (select level, lang, source, k, max(n) as n, min(x) filter (where upto * 4 >= n) as q1, min(x) filter (where upto * 4 >= n * 3) as q3 from u group by level, lang, source, k),
+h as (select *, case when k = 4 then q1 - 3 * greatest(q3 - q1, 60) else 0 end as lo, q3 + 3 * greatest(q3 - q1, [20, 100, 200, 60][k]) as hi from q),
+j as (select a.lang, a.source, a.k, case when a.n >= 200 then a.lo when b.n >= 200 then b.lo else c.lo end as lo, case when a.n >= 200 then a.hi when b.n >= 200 then b.hi else c.hi end as hi
+  from h a join h b on a.level = 1 and b.level = 2 and a.k = b.k and a.lang is not distinct from b.lang join h c on c.level = 3 and c.k = a.k),
+z as (select r, bool_and(v[k] between lo and hi) as inside from f join j on f.lang is not distinct from j.lang and f.source is not distinct from j.source group by r)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(inside, false) as kept from f left join z using (r)"""
+
+
 @query
 def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placements, _ = packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
