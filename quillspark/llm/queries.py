@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import adaptive_rules, crf, ftrl, mixing, packing, va_search, warc, wavelet
+from . import adaptive_rules, crf, ftrl, mixing, packing, surrogates, tensor_minhash, va_search, warc, wavelet
 from .common import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,30 @@ def op1_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op2_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensor_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op2_tensored_minhash"] = r"""
+with recursive w as (select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	-
+]+') if x <> ''] as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+  else list_distinct([array_to_string(ws[i:i + 4], ' ') for i in range(1, len(ws) - 3)]) end as sh from w),
+e as (select doc_id, len(sh) as n, unnest(sh) as x from s),
+o as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as c from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by all),
+k as (select a, b from o where 100 * c >= 75 * (na + nb - c)),
+g as (select a, b from k union all select b, a from k),
+r as (select doc_id, doc_id as node from s union select r.doc_id, g.b from r join g on r.node = g.a),
+m as (select doc_id, min(node) as component_id from r group by doc_id)
+select s.doc_id, cast(len(sh) as bigint) as n_shingles, component_id, s.doc_id = component_id as kept from s join m using (doc_id)"""
+
+
+@query
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
 @query
 def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = wavelet.write_token_files(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)

@@ -1,0 +1,193 @@
+"""Personal data replaced by keyed surrogates of the same type and form.
+
+Entities are found by one pattern, their surrogates derived from a keyed hash
+of type and value, so an entity gets the same surrogate wherever it stands
+(coreference). All distinct entities of the table are then checked together:
+no two share a surrogate and no surrogate is an entity that occurs. Only
+DataFrame functions are used.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import stage
+from .common import let
+
+# Titles and first names by gender and script, and syllables of surnames by script.
+TITLES = {"m": ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Господин"], "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа"], "": ["Dr", "Prof"]}
+FIRST = {
+    ("m", "latin"): ["Adam", "Bruno", "Carl", "Daniel", "Emil", "Felix", "George", "Henri", "Ivan", "Jorge", "Karl", "Louis", "Martin", "Oscar", "Paul", "Robert", "Simon", "Thomas", "Victor", "William"],
+    ("f", "latin"): ["Alice", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helena", "Ingrid", "Julia", "Katharina", "Laura", "Maria", "Nora", "Olivia", "Paula", "Rosa", "Sofia", "Teresa", "Vera"],
+    ("m", "cyrillic"): ["Антон", "Борис", "Виктор", "Григорий", "Дмитрий", "Егор", "Иван", "Максим", "Николай", "Олег"],
+    ("f", "cyrillic"): ["Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Мария", "Наталья", "Ольга", "Татьяна"],
+}
+SYLLABLES = {"latin": ["ba", "de", "fi", "go", "ha", "ke", "li", "mo", "na", "pe", "ri", "so", "ta", "ve", "wi", "zu"], "cyrillic": ["ба", "ве", "ги", "до", "за", "ке", "ли", "мо", "на", "пе", "ри", "со", "та", "фе", "хи", "чу"]}
+
+_TITLE = "|".join(t for group in TITLES.values() for t in group)
+_NAME = "|".join(n for group in FIRST.values() for n in group)
+_CAP = r"\p{Lu}\p{Ll}++(?:-\p{Lu}\p{Ll}++)?"
+#: Type and pattern, in the order in which they are tried at a place.
+PATTERNS = {
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![\p{L}\p{N}-])",
+    "secret": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,64})(?![\p{L}\p{N}])",
+    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?\d{3}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
+    "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? (?:(?:{_NAME}) )?{_CAP}|(?:{_NAME}) {_CAP})(?!\p{{L}})",
+}
+ANY = "|".join(PATTERNS.values())
+
+
+def kind_of(value: Column) -> Column:
+    out = F.lit("name")
+    for name in reversed([k for k in PATTERNS if k != "name"]):
+        out = F.when(value.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(out)
+    return out
+
+
+def _byte(digest: Column, i: Column) -> Column:
+    """The i-th of 128 numbers below 256 of a digest string."""
+    return F.conv(F.substring(digest, F.pmod(i, F.lit(128)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def _digest(key: str, kind: Column, value: Column, attempt: Column) -> Column:
+    parts = [F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(str(k)), kind, value, attempt.cast("string")), 256) for k in range(4)]
+    return F.concat(*parts)
+
+
+def _letters(value: Column, digest: Column, fixed: Column) -> Column:
+    """Each letter and digit from ``fixed`` on by one of its own class; all other characters stay."""
+
+    def one(c: Column, i: Column) -> Column:
+        b = _byte(digest, i)
+        pick = lambda chars: F.substring(F.lit(chars), b % len(chars) + 1, F.lit(1))
+        new = F.when(c.rlike(r"^\d$"), pick("0123456789")).when(c.rlike(r"^\p{IsCyrillic}$"), pick("бвгдзклмнпрст")).when(c.rlike(r"^\p{Lu}$"), pick("BCDFGHJKLMNPRSTVWZ"))
+        return F.when(i < fixed, c).otherwise(new.when(c.rlike(r"^\p{L}$"), pick("abcdefghijklmnoprstuvwyz")).otherwise(c))
+
+    return F.array_join(F.transform(F.split(value, "(?!^)(?!$)"), one), "")
+
+
+def _luhn(digits: Column) -> Column:
+    """Luhn sum of a string of digits, its last digit counting once."""
+    d = F.reverse(F.split(digits, "(?!^)(?!$)"))
+    step = lambda x, i: F.when(i % 2 == 0, x.cast("int")).otherwise((x.cast("int") * 2) % 10 + F.floor(x.cast("int") / 5).cast("int"))
+    return F.aggregate(F.transform(d, step), F.lit(0), lambda a, x: a + x)
+
+
+def _card(value: Column, digest: Column) -> Column:
+    """Other digits in the same places; the first stays, and a valid check digit stays valid."""
+
+    def fix(new: Column) -> Column:
+        bare = lambda c: F.regexp_replace(c, r"\D", "")
+        body = F.substring(new, F.lit(1), F.char_length(new) - 1)
+        check = F.pmod(-_luhn(F.concat(bare(body), F.lit("0"))), F.lit(10)).cast("string")
+        return F.when(_luhn(bare(value)) % 10 == 0, F.concat(body, check)).otherwise(new)
+
+    return let(_letters(value, digest, F.lit(1)), fix)
+
+
+def _name(value: Column, digest: Column, key: str, kind: Column, attempt: Column) -> Column:
+    """Title kept; first name of the same gender and script; surname made of syllables.
+
+    Surnames are hashed alone, so all mentions of a surname agree.
+    """
+    words = F.split(value, " ")
+    script = F.when(value.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    first = F.regexp_extract(value, rf"(?:^| )({_NAME}) ", 1)
+    title = F.regexp_extract(value, rf"^((?:{_TITLE})\.?) ", 1)
+    sur = _digest(key, kind, F.element_at(words, -1), attempt)
+    given = _digest(key, F.lit("first"), first, attempt)
+
+    def surname(s: str) -> Column:
+        options = F.array(*map(F.lit, SYLLABLES[s]))
+        return F.initcap(F.concat(*[F.get(options, _byte(sur, F.lit(i)) % len(SYLLABLES[s])) for i in range(4)]))
+
+    new_first = F.lit("")
+    for (gender, s), names in FIRST.items():
+        new_first = F.when(first.isin(*names), F.get(F.array(*map(F.lit, names)), _byte(given, F.lit(0)) % len(names))).otherwise(new_first)
+    last = F.when(script == "cyrillic", surname("cyrillic")).otherwise(surname("latin"))
+    return F.concat_ws(" ", F.when(title != "", title), F.when(first != "", new_first), last)
+
+
+def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
+    d = _digest(key, kind, value, attempt)
+
+    def make(d: Column) -> Column:
+        octet = lambda i, least, span: (least + _byte(d, F.lit(i)) % span).cast("string")
+        at = F.instr(value, "@")
+        host = F.substring(value, at, F.char_length(value))
+        top = F.regexp_extract(value, r"(\.[A-Za-z]+)$", 1)
+        local = _letters(F.substring(value, F.lit(1), at - 1), d, F.lit(0))
+        # the domain changes too, but for its last part
+        domain = _letters(F.substring(host, F.lit(1), F.char_length(host) - F.char_length(top)), F.reverse(d), F.lit(0))
+        code = F.char_length(F.regexp_extract(value, r"^(\+\d{1,3})", 1))
+        return (
+            F.when(kind == "email", F.concat(local, domain, top))
+            .when(kind == "ipv4", F.concat_ws(".", octet(0, 11, 200), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)))
+            .when(kind == "phone", _letters(value, d, code))
+            .when(kind == "card", _card(value, d))
+            .when(kind == "iban", _letters(value, d, F.lit(2)))
+            .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), F.substring(F.concat(F.reverse(d), d), F.lit(1), F.char_length(value))).otherwise(_letters(value, d, F.lit(4))))
+            .when(kind == "name", _name(value, d, key, kind, attempt))
+            .otherwise(_letters(value, d, F.lit(0)))
+        )
+
+    return let(d, make)
+
+
+def resolve(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
+    """(value, surrogate) of all distinct entities, without collisions.
+
+    An entity whose surrogate another one has, or which occurs as an entity
+    itself, takes its next attempt; of those that share one, the least value
+    keeps it. Ends when nothing changes; in a form with too few values left an
+    error is raised after ``rounds``.
+    """
+    values = entities.select("value")
+    taken = stage(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.lit(0), key)), "surrogates")
+    for _ in range(rounds):
+        # settled entities first, so that a new attempt never takes what another one keeps
+        rank = F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "value"))
+        real = values.select(F.col("value").alias("surrogate"), F.lit(True).alias("real"))
+        counts = taken.groupBy("surrogate").count().where("count > 1").select("surrogate")
+        bad = taken.join(counts, "surrogate", "left_semi").withColumn("rank", rank).where("rank > 1").select("value")
+        bad = stage(bad.union(taken.join(real, "surrogate").select("value")).distinct(), "collisions")
+        if bad.isEmpty():
+            return taken.select("value", "surrogate", "attempt")
+        moved = taken.join(bad, "value").withColumn("attempt", F.col("attempt") + 1)
+        moved = moved.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
+        taken = stage(taken.join(bad, "value", "left_anti").unionByName(moved), "surrogates")
+    raise ValueError("a form of entity has too few values for distinct surrogates")
+
+
+def replace_entities(df: DataFrame, key: str = "surrogate-key", text: str = "text", counts: bool = False) -> DataFrame:
+    """The same rows with every entity of ``text`` replaced; other columns pass through.
+
+    Null texts stay null and empty ones empty. With ``counts``, ``n_entities``
+    is added. The texts are scanned twice: for the distinct entities, and to
+    replace them; entities that needed more than one attempt are joined by
+    value, all others are derived again in place, so no text is shuffled.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))
+    entities = df.select(F.explode(found).alias("value")).distinct().withColumn("kind", kind_of(F.col("value")))
+    resolved = resolve(stage(entities, "entities"), key)
+    late = stage(resolved.where("attempt > 0").select("value", "surrogate"), "late-surrogates")
+    first = lambda v: surrogate(kind_of(v), v, F.lit(0), key)
+    hits = F.when(F.col(text).isNotNull(), found)
+
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), hits.alias("_hits"))
+    rows = rows.withColumn("_new", F.transform("_hits", first))
+    if not late.isEmpty():
+        # equal lists of entities share a map; rows without any get keys of their own
+        rows = rows.withColumn("_k", F.when(F.size("_hits") > 0, F.xxhash64("_hits")).otherwise(F.xxhash64("_row")))
+        which = rows.select("_k", F.explode(F.array_distinct("_hits")).alias("value")).join(late, "value")
+        maps = which.groupBy("_k").agg(F.map_from_entries(F.collect_set(F.struct("value", "surrogate"))).alias("_late"))
+        rows = rows.join(maps, "_k", "left").withColumn("_new", F.zip_with("_hits", "_new", lambda h, n: F.coalesce(F.try_element_at("_late", h), n)))
+    gaps = F.split(F.col(f"_row.{text}"), ANY, -1)
+    pieces = F.zip_with(gaps, "_new", lambda g, n: F.concat(g, F.coalesce(n, F.lit(""))))
+    new = F.when(F.size("_new") > 0, F.array_join(pieces, "")).otherwise(F.col(f"_row.{text}"))
+    out = [new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    return rows.select(*out, *([F.greatest(F.size("_hits"), F.lit(0)).alias("n_entities")] if counts else []))
