@@ -65,7 +65,7 @@ def _header(row: dict) -> bytes:
     return "\r\n".join([*(x.replace("\r", " ").replace("\n", " ") for x in lines), f"Content-Length: {length}"]).encode() + _END
 
 
-def write_warc(pages: DataFrame, folder: str | None = None, *, least: int = 100, chunk: int = CHUNK, file_bytes: int = 256 << 20, rows_per_task: int = 20_000) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str | None = None, *, least: int = 100, chunk: int = CHUNK, file_bytes: int = 256 << 20) -> DataFrame:
     """Write a record per row of (page_id, url, html); returns the list of files.
 
     Null html is an empty payload, a null url an empty one, a null page_id an
@@ -83,8 +83,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, *, least: int = 100,
     joined = chunks.join(p, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("payload_digest") == F.col("_d"))).drop("_id", "_d")
     # a revisit has no payload in the archive: its first chunk stands for the record
     joined = joined.where("record_type = 'response' or chunk_no = 0").withColumn("data", F.when(F.col("record_type") == "response", F.col("data")).otherwise(F.lit(b"")))
-    tasks = max(1, -(-pages.count() // rows_per_task), spark.sparkContext.defaultParallelism)
-    dealt = joined.repartition(tasks, "record").sortWithinPartitions("record", "chunk_no")
+    # the join deals rows by page and digest (or not at all), so the chunks of a record are in one task already
+    dealt = joined.sortWithinPartitions("record", "chunk_no")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
