@@ -36,9 +36,11 @@ PATTERNS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?\d{3}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:(?:{_TITLE})\.? (?:(?:{_NAME}) )?{_CAP}|(?:{_NAME}) {_CAP})(?!\p{{L}})",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?=\p{{Lu}})(?:(?:{_TITLE})\.? (?:(?:{_NAME}) )?{_CAP}|(?:{_NAME}) {_CAP})(?!\p{{L}})",
 }
-ANY = "|".join(PATTERNS.values())
+#: An entity starts after a character that is no letter or digit, or with one of
+#: a few characters; told first, this spares all patterns inside of words.
+ANY = r"(?:(?<![\p{L}\p{N}])|(?=[\p{N}+(._%-]))(?:" + "|".join(PATTERNS.values()) + ")"
 
 
 def kind_of(value: Column) -> Column:
