@@ -63,8 +63,11 @@ def gold_triplets(s: Column) -> Column:
     """Distinct triplets of a ``a,o,p;a,o,p`` string or of a JSON list of
     three-item lists, each in the form ``a,o,p``; bad input gives none."""
     plain = F.filter(F.split(s, ";"), lambda x: x != "")
-    # A list literal may use parentheses and single quotes.
-    as_json = F.translate(s, "()'", '[]"')
+    # A list literal may use parentheses and single quotes; apostrophes inside
+    # of an item stay.
+    opened = F.regexp_replace(s, r"""\(\s*(?=['"])""", "[")
+    closed = F.regexp_replace(opened, r"""(?<=['"])\s*,?\s*\)""", "]")
+    as_json = F.regexp_replace(closed, r"(?<=[\[,]\s{0,8})'|'(?=\s*[,\]])", '"')
     listed = F.transform(F.from_json(as_json, "array<array<string>>"), lambda t: F.array_join(t, ","))
     none = F.array().cast("array<string>")
     out = F.when(s.isNull() | (s == ""), none).when(s.startswith("["), listed).otherwise(plain)

@@ -23,13 +23,14 @@ def side_counts(df: DataFrame, value: str, keys: Sequence[str] = (), *, side: st
 
 
 def ks(df: DataFrame, value: str, keys: Sequence[str] = (), **kw) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and its 5% critical value."""
+    """Two-sample Kolmogorov-Smirnov statistic and its 5% critical value; NULL
+    where one side has no values."""
     counts = side_counts(df.where(F.col(value).isNotNull()), value, keys, **kw)
     cum = running_totals(counts, value, ["n_ref", "n_cur"], keys)
     n, m = F.col("all_n_ref").cast("double"), F.col("all_n_cur").cast("double")
-    gap = F.abs(F.col("cum_n_ref") / n - F.col("cum_n_cur") / m)
+    gap = F.abs(F.try_divide("cum_n_ref", n) - F.try_divide("cum_n_cur", m))
     out = cum.groupBy(*keys).agg(F.max(gap).alias("statistic"), F.max(n).alias("_n"), F.max(m).alias("_m"))
-    critical = F.lit(1.3581) * F.sqrt((F.col("_n") + F.col("_m")) / (F.col("_n") * F.col("_m")))
+    critical = F.lit(1.3581) * F.sqrt(F.try_divide(F.col("_n") + F.col("_m"), F.col("_n") * F.col("_m")))
     return out.select(*keys, F.lit("ks").alias("test"), "statistic", critical.alias("critical"), (F.col("statistic") > critical).alias("drifted"))
 
 
@@ -43,14 +44,14 @@ def _shares(counts: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
     smooth = F.col("_k") * alpha
     return s.withColumns(
         {
-            "_p": F.col("n_ref") / F.col("_r"), "_q": F.col("n_cur") / F.col("_c"),
+            "_p": F.try_divide("n_ref", "_r"), "_q": F.try_divide("n_cur", "_c"),
             "_sp": (F.col("n_ref") + alpha) / (F.col("_r") + smooth), "_sq": (F.col("n_cur") + alpha) / (F.col("_c") + smooth),
         }
     )
 
 
 def _plogp(p: Column, q: Column) -> Column:
-    return F.when(p > 0, p * F.ln(p / q)).otherwise(F.lit(0.0))
+    return F.when(p > 0, p * F.ln(p / q)).when(p.isNotNull(), F.lit(0.0))
 
 
 def divergences(counts: DataFrame, keys: Sequence[str] = (), alpha: float = 0.5) -> DataFrame:
@@ -61,9 +62,10 @@ def divergences(counts: DataFrame, keys: Sequence[str] = (), alpha: float = 0.5)
     both = F.col("n_ref") + F.col("n_cur")
     want_c = F.col("_c") * both / (F.col("_r") + F.col("_c"))
     want_r = F.col("_r") * both / (F.col("_r") + F.col("_c"))
-    chi = F.pow(F.col("n_cur") - want_c, 2) / want_c + F.pow(F.col("n_ref") - want_r, 2) / want_r
+    chi = F.try_divide(F.pow(F.col("n_cur") - want_c, 2), want_c) + F.try_divide(F.pow(F.col("n_ref") - want_r, 2), want_r)
     return s.groupBy(*keys).agg(
-        F.sqrt(F.greatest(F.sum((_plogp(p, mid) + _plogp(q, mid)) / 2) / F.ln(F.lit(2.0)), F.lit(0.0))).alias("js"),
+        # an empty side has no shares and so no distance
+        F.when(F.count(mid) > 0, F.sqrt(F.greatest(F.sum((_plogp(p, mid) + _plogp(q, mid)) / 2) / F.ln(F.lit(2.0)), F.lit(0.0)))).alias("js"),
         F.sum(chi).alias("chi_square"), F.count("*").alias("n_values"),
         F.sum(_plogp(F.col("_sp"), F.col("_sq"))).alias("kl"),
     )

@@ -101,7 +101,7 @@ def fit_or_report(fit: Callable[[], DataFrame], df: DataFrame, *, model: str, ke
         return out.select(*keys, F.col("pred").cast("int").alias("pred"), F.lit(model).alias("model"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"))
     except Exception as e:  # noqa: BLE001 - the reason is part of the result
         return df.select(
-            *keys, F.lit(None).cast("int").alias("pred"), F.lit(model).alias("model"), F.lit("failed").alias("status"), F.lit(str(e)[:200]).alias("reason")
+            *keys, F.lit(None).cast("int").alias("pred"), F.lit(model).alias("model"), F.lit("failed").alias("status"), F.lit(str(e)).alias("reason")
         )
 
 

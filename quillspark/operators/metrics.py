@@ -34,7 +34,10 @@ def confusion(df: DataFrame, keys: Sequence[str] = (), *, label: str = "label",
 
 
 def per_class(df: DataFrame, keys: Sequence[str] = (), *, label: str = "label", pred: str = "pred") -> DataFrame:
-    """tp, fp, fn, support, precision, recall, f1 of every class that occurs."""
+    """tp, fp, fn, support, precision, recall, f1 of every class that occurs.
+
+    A NULL prediction is a miss of its label and no class of its own.
+    """
     keys = list(keys)
     cells = df.groupBy(*keys, F.col(label).alias("_t"), F.col(pred).alias("_p")).agg(F.count("*").alias("n"))
     same, zero = F.col("_t") == F.col("_p"), F.lit(0).cast("bigint")
@@ -46,7 +49,8 @@ def per_class(df: DataFrame, keys: Sequence[str] = (), *, label: str = "label",
         F.col("_p").cast("string").alias("class"), zero.alias("tp"),
         F.when(same, zero).otherwise(F.col("n")).alias("fp"), zero.alias("fn"), zero.alias("support"),
     )
-    sums = cells.select(*keys, F.explode(F.array(as_true, as_pred)).alias("e")).groupBy(*keys, F.col("e.class").alias("class"))
+    both = F.array(as_true, F.when(F.col("_p").isNotNull(), as_pred))
+    sums = cells.select(*keys, F.explode(both).alias("e")).where("e is not null").groupBy(*keys, F.col("e.class").alias("class"))
     sums = sums.agg(*[F.sum(f"e.{c}").alias(c) for c in ("tp", "fp", "fn", "support")])
     return sums.select(
         "*",

@@ -23,12 +23,15 @@ def length_stats(df: DataFrame, keys: Sequence[str], *, text: str = "text") -> D
 
 
 def length_histogram(value: Column, df: DataFrame, *, lo: float, hi: float, bins: int = 50, clip: float | None = 500, keys: Sequence[str] = ()) -> DataFrame:
-    """(bin, n) with bins [edge, next edge), the last one closed."""
+    """(bin, n) with bins [edge, next edge), the last one closed.
+
+    No row is left out: values below ``lo`` are counted in bin -1, those above
+    ``hi`` in bin ``bins``, and NULL values in a NULL bin.
+    """
     v = F.least(value, F.lit(clip)) if clip is not None else value
-    b = F.least(F.floor((v - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1))
-    return df.select(*keys, b.cast("int").alias("bin"), v.alias("_v")).where((F.col("_v") >= lo) & (F.col("_v") <= hi)).groupBy(
-        *keys, "bin"
-    ).agg(F.count("*").alias("n"))
+    inside = F.least(F.floor((v - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)), F.lit(bins - 1))
+    b = F.when(value.isNull(), F.lit(None)).when(v < lo, F.lit(-1)).when(v > hi, F.lit(bins)).otherwise(inside)
+    return df.select(*keys, b.cast("int").alias("bin")).groupBy(*keys, "bin").agg(F.count("*").alias("n"))
 
 
 def label_distribution(df: DataFrame, *, label: str = "label", keys: Sequence[str] = ()) -> DataFrame:
@@ -48,20 +51,15 @@ def imbalance(df: DataFrame, *, label: str = "label", keys: Sequence[str] = (),
     return out.withColumn("verdict", F.when(F.col("ratio") > limit, "imbalanced").otherwise("balanced"))
 
 
-def class_table(df: DataFrame, *, label: str = "label", max_classes: int = 100) -> DataFrame:
-    """One row per class, or a single summary row when there are too many."""
+def class_table(df: DataFrame, *, label: str = "label") -> DataFrame:
+    """One row per class of any number of classes, and a summary row; callers
+    that show only one kind filter on ``kind``."""
     c = df.groupBy(F.col(label).cast("string").alias("class")).agg(F.count("*").alias("n"))
-    totals = c.agg(
-        F.struct(F.count("*").alias("k"), F.sum("n").alias("rows"), F.max("n").alias("largest"), F.min("n").alias("smallest")).alias("t")
-    )
-    few = c.withColumn("_t", totals.scalar()).where(F.col("_t.k") < max_classes).select(
-        F.lit("class").alias("kind"), "class", "n", F.lit(None).cast("bigint").alias("largest"), F.lit(None).cast("bigint").alias("smallest")
-    )
-    many = totals.where(F.col("t.k") >= max_classes).select(
-        F.lit("summary").alias("kind"), F.concat(F.col("t.k").cast("string"), F.lit(" classes")).alias("class"),
-        F.col("t.rows").alias("n"), F.col("t.largest").alias("largest"), F.col("t.smallest").alias("smallest"),
-    )
-    return few.unionByName(many)
+    none = F.lit(None).cast("bigint")
+    classes = c.select(F.lit("class").alias("kind"), "class", "n", none.alias("largest"), none.alias("smallest"))
+    summary = c.agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max("n").alias("largest"), F.min("n").alias("smallest"))
+    named = F.concat(F.col("k").cast("string"), F.lit(" classes")).alias("class")
+    return classes.unionByName(summary.select(F.lit("summary").alias("kind"), named, "n", "largest", "smallest"))
 
 
 def text_lengths(df: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:

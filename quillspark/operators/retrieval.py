@@ -26,6 +26,9 @@ _HITS_DDL = "query_id bigint, neighbor_id bigint, similarity double"
 
 def _unit_rows(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
     arr = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    lengths = np.unique(arr.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False))
+    if len(lengths) > 1 or (len(lengths) and lengths[0] < 1):
+        raise ValueError(f"vectors must be non-null and of one length, found lengths {lengths[:5].tolist()} (-1 is NULL)")
     flat = arr.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     m = flat.reshape(len(arr), -1) if len(arr) else flat.reshape(0, 1)
     norm = np.linalg.norm(m, axis=1, keepdims=True)

@@ -102,12 +102,15 @@ def attach_sidecar(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     """Join a label table, guarding against a wrong file.
 
     Labels come back NULL when the row counts differ or when more than half of
-    the texts occur among the label values.
+    the texts occur among the label values; ``reason`` then says which, and is
+    NULL where the labels were taken.
     """
     n_left = df.agg(F.count("*").alias("n"))
     n_right = labels.agg(F.count("*").alias("n"))
     values = labels.select(F.col(label).cast("string").alias(text)).distinct()
     overlap = df.select(text).join(values, text, "left_semi").agg(F.count("*").alias("n"))
-    fits = (n_left.scalar() == n_right.scalar()) & (overlap.scalar() <= F.lit(max_overlap) * n_left.scalar())
+    reason = F.when(n_left.scalar() != n_right.scalar(), "row counts differ").when(
+        overlap.scalar() > F.lit(max_overlap) * n_left.scalar(), "labels repeat the texts"
+    )
     joined = df.join(labels.select(id_col, F.col(label).alias("_label")), id_col, "left")
-    return joined.withColumn("_fits", fits).withColumn(label, F.when(F.col("_fits"), F.col("_label"))).drop("_label", "_fits")
+    return joined.withColumn("reason", reason).withColumn(label, F.when(F.col("reason").isNull(), F.col("_label"))).drop("_label")

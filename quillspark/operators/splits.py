@@ -75,9 +75,10 @@ def sequential_split(
     """First ``share`` of the rows by (order, md5(id), id) against the rest.
 
     Only rows that tie at the cut value are ranked; all others are placed by
-    comparing with it, without a shuffle of the table.
+    comparing with it, without a shuffle of the table. Rows without an order
+    value count as none of the ``share`` and go to the later side.
     """
-    counts = df.groupBy(order).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(order).isNotNull()).groupBy(order).agg(F.count("*").alias("n"))
     cum = running_totals(counts, order, ["n"])
     keep = F.floor(F.lit(share) * F.col("all_n"))
     cut = (
@@ -86,7 +87,7 @@ def sequential_split(
     )
     marked = df.withColumn("_cut", cut.scalar())
     at, room = F.col("_cut").getField("at"), F.col("_cut").getField("room")
-    apart = marked.where(F.col(order) != at).withColumn(
+    apart = marked.where(~F.col(order).eqNullSafe(at) | F.col(order).isNull()).withColumn(
         out, F.when(F.col(order) < at, names[0]).otherwise(names[1])
     )
     ties = hash_rank(marked.where(F.col(order) == at), ["_cut"], id_col, seed).withColumn(
@@ -100,6 +101,6 @@ def split_at_value(
 ) -> DataFrame:
     """Like ``sequential_split`` for tables without a row id: rows that share
     the cut value all go to the later side."""
-    cum = running_totals(df.groupBy(order).agg(F.count("*").alias("n")), order, ["n"])
+    cum = running_totals(df.where(F.col(order).isNotNull()).groupBy(order).agg(F.count("*").alias("n")), order, ["n"])
     cut = cum.where(F.col("cum_n") > F.floor(F.lit(share) * F.col("all_n"))).agg(F.min(order).alias("at"))
     return df.withColumn(out, F.when(F.col(order) < cut.scalar(), names[0]).otherwise(names[1]))

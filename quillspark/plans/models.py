@@ -215,7 +215,7 @@ def errors_by_fold(spark, d):
 
 # --- transfer between domains -----------------------------------------------------------
 
-DOMAINS = ["de", "en", "es", "fr"]
+DOMAINS = ["de", "en", "es", "fr"]  # columns of the SQL check; the query takes those of the table
 _TR = f"""{LAB}, trw as (select lab.*, domain as src, 1 as copies from lab), tex as (select lab.*, s.src from lab cross join (select distinct domain as src from lab) s),
 {nb_sql(test='tex', keys='src', vocab=20000)}, tp as (select doc_id, src as source_domain, domain as target_domain, label, pred from nb),
 tc as (select source_domain as s, target_domain as t, c, count(*) filter (label = c and pred = c) as tp, count(*) filter ((label = c) <> (pred = c)) as err from tp cross join (values (0), (1)) z(c) group by 1, 2, 3),
@@ -224,8 +224,14 @@ tt as (select a.s as source, a.t as target, a.f as target_f1, b.f as source_f1,
   case when b.f = 0 then 0.0::double else a.f / b.f end >= 0.8 as passed from tf a left join tf b on a.s = b.s and b.s = b.t)"""
 
 
+def _domains(spark, d):
+    """All domains of the table, each a source and a target."""
+    found = labelled(spark, d).where(F.col("domain").isNotNull()).select("domain").distinct()
+    return sorted(r["domain"] for r in found.collect())
+
+
 def transfer(spark, d):
-    return NB.transfer_predictions(labelled(spark, d), DOMAINS)
+    return NB.transfer_predictions(labelled(spark, d), _domains(spark, d))
 
 
 def transfer_table(spark, d):
@@ -253,7 +259,8 @@ def transfer_summary(spark, d):
     f"with {_TR} select source, " + ", ".join(f"round(max(case when target = '{t}' then target_f1 end), 6) as {t}" for t in DOMAINS) + " from tt group by 1",
 )
 def transfer_matrix(spark, d):
-    return rounded(M.transfer_matrix(transfer_table(spark, d), DOMAINS), *DOMAINS)
+    domains = _domains(spark, d)
+    return rounded(M.transfer_matrix(transfer_table(spark, d), domains), *domains)
 
 
 @query("met_transfer_errors", f"with {_TR} select doc_id, source_domain, target_domain, label as true_label, pred as pred_label from tp where label <> pred")

@@ -27,8 +27,8 @@ def histogram(spark, d):
 
 @query(
     "eda_length_histogram_by_domain",
-    "select lang as domain, cast(least(floor((length(text) - 0.0::double) * 50 / 20000.0::double), 49) as integer) as bin, count(*) as n "
-    "from documents where length(text) <= 20000 group by 1, 2",
+    "select lang as domain, cast(case when length(text) > 20000 then 50 else least(floor((length(text) - 0.0::double) * 50 / 20000.0::double), 49) end as integer) as bin, "
+    "count(*) as n from documents group by 1, 2",
 )
 def histogram_domain(spark, d):
     return P.length_histogram(F.length("text"), documents(spark, d), lo=0.0, hi=20000.0, clip=None, keys=["domain"])
@@ -62,9 +62,14 @@ def imbalance(spark, d):
     return rounded(P.imbalance(labelled(spark, d), keys=["domain"]), "ratio")
 
 
+_CLASSES = """with c as (select cast({column} as varchar) as class, count(*) as n from {table} group by 1)
+select 'class' as kind, class, n, cast(null as bigint) as largest, cast(null as bigint) as smallest from c
+union all select 'summary', concat(cast(count(*) as varchar), ' classes'), cast(sum(n) as bigint), max(n), min(n) from c"""
+
+
 @query(
     "eda_class_table",
-    "select 'class' as kind, cast(quality as varchar) as class, count(*) as n, cast(null as bigint) as largest, cast(null as bigint) as smallest from labels group by quality",
+    _CLASSES.format(column="quality", table="labels"),
 )
 def class_table(spark, d):
     from .base import gold
@@ -74,9 +79,7 @@ def class_table(spark, d):
 
 @query(
     "eda_many_classes",
-    """with c as (select cast(user_id as varchar) as class, count(*) as n from events group by 1), k as (select count(*) as k from c)
-select 'summary' as kind, concat(cast(count(*) as varchar), ' classes') as class, cast(sum(n) as bigint) as n, max(n) as largest, min(n) as smallest from c having count(*) >= 100
-union all select 'class', class, n, null, null from c cross join k where k < 100""",
+    _CLASSES.format(column="user_id", table="events"),
 )
 def many_classes(spark, d):
     return P.class_table(table(spark, d, "events"), label="user_id")

@@ -95,18 +95,18 @@ def valid_metrics(spark, d):
 @query(
     "prompt_error_cases",
     f"""with {_CASES}, er as (select distinct query_id as vec_id, query_label as label, query_pred as pred from cases), ev as (select er.*, e.v from er join e using (vec_id) where vec_id in (select doc_id from documents)),
-qs as (select * from ev order by md5(concat(cast(vec_id as varchar), '-42')), vec_id limit 50), {_top_sql(q='qs', c='ev', k=3, name='near')},
+{_top_sql(q='ev', c='ev', k=3, name='near')},
 j as (select n.*, q.label as ql, q.pred as qp, b.label as nl, b.pred as np, dq.text as qt, db.text as nt from near n join ev q on n.query_id = q.vec_id join ev b on n.neighbor_id = b.vec_id
   join documents dq on dq.doc_id = n.query_id join documents db on db.doc_id = n.neighbor_id)
 select query_id, ({_fill_sql(lx.CASE_HEADER, text='any_value(qt)', true=_W('any_value(ql)'), pred=_W('any_value(qp)'), n='count(*)')})
   || string_agg({_fill_sql(lx.CASE_FORMAT, rank='rank', text='left(nt, 100)', true=_W('nl'), pred=_W('np'), similarity="printf('%.3f', similarity)")}, '' order by rank) || {_lit(lx.CASE_FOOTER)} as user_prompt from j group by 1""",
 )
 def error_case_prompts(spark, d):
-    """For 50 sampled errors, the three nearest other errors as context."""
+    """For every error, the three nearest other errors as context."""
     cases = error_cases(spark, d).select(F.col("query_id").alias("vec_id"), F.col("query_label").alias("label"), F.col("query_pred").alias("pred")).distinct()
     wrong = cases.join(table(spark, d, "embeddings").select("vec_id", "embedding"), "vec_id")
     wrong = wrong.join(documents(spark, d).select(F.col("doc_id").alias("vec_id"), "text"), "vec_id")
-    hits = R.topk(S.sample_n(wrong, 50, id_col="vec_id"), wrong, 3)
+    hits = R.topk(wrong, wrong, 3)
     cols = ["text", "label", "pred"]
     return P.case_prompts(R.with_attributes(R.with_attributes(hits, wrong, cols, side="query"), wrong, cols))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, StringType
@@ -61,32 +62,73 @@ def detect_charset(spark: SparkSession, path: str, charsets: Sequence[str] = LAD
     return min(shares)[2]
 
 
-def header_names(spark: SparkSession, path: str, charset: str, sep: str = ",") -> list[str]:
+def file_charsets(spark: SparkSession, path: str, charsets: Sequence[str] = LADDER_DEFAULT, *, tolerance: float = 0.05) -> DataFrame:
+    """(file, charset, lines, bad_share): the charset of each file of a path.
+
+    It is the first of the ladder whose share of undecodable lines, among the
+    lines that are not plain ASCII, exceeds the smallest share of all charsets
+    by no more than the tolerance: a stray byte does not make a UTF-8 file
+    Latin-1. Files without a line have no row.
+    """
+    parts = []
+    for i, c in enumerate(charsets):
+        lines = _raw_lines(spark, path, c).select(F.input_file_name().alias("file"), "value")
+        other = F.count_if(F.col("value").rlike(r"[^\x00-\x7f]"))
+        share = F.count_if(F.col("value").contains(_REPLACEMENT)) / F.greatest(other, F.lit(1))
+        parts.append(lines.groupBy("file").agg(F.count("*").alias("lines"), share.alias("bad_share")).select("file", F.lit(i).alias("position"), F.lit(c).alias("charset"), "lines", "bad_share"))
+    tried = functools.reduce(DataFrame.unionByName, parts).groupBy("file").agg(
+        F.array_sort(F.collect_list(F.struct("position", "charset", "lines", "bad_share"))).alias("t")  # one per charset
+    )
+    least = F.array_min(F.transform("t", lambda x: x["bad_share"]))
+    return tried.select("file", F.filter("t", lambda x: x["bad_share"] <= least + tolerance)[0].alias("c")).select("file", "c.charset", "c.lines", "c.bad_share")
+
+
+def header_names(spark: SparkSession, path: str | list[str], charset: str, sep: str = ",") -> list[str]:
     return spark.read.csv(path, header=True, encoding=_java(charset), sep=sep).columns
 
 
+def _by_charset(spark: SparkSession, path: str, charsets: Sequence[str]) -> list[tuple[str, str | list[str]]]:
+    """Charsets with their files; the whole path where all files agree."""
+    if len(charsets) == 1:
+        return [(charsets[0], path)]
+    found = file_charsets(spark, path, charsets)
+    used = [r["charset"] for r in found.select("charset").distinct().collect()]
+    if len(used) < 2:
+        return [(used[0] if used else charsets[0], path)]
+    # file names only, as the driver lists them for any scan
+    files = {c: sorted(unquote(r["file"]) for r in found.where(F.col("charset") == c).select("file").collect()) for c in used}
+    return sorted(files.items(), key=lambda x: charsets.index(x[0]))
+
+
 def read_reviews(
     spark: SparkSession, path: str, *, charsets: Sequence[str] = LADDER_DEFAULT, schema: StructType | str | None = None,
-    header: bool = True, sep: str = ",", keep_malformed: bool = False, multi_line: bool = False,
+    header: bool = True, sep: str = ",", keep_malformed: bool = False, multi_line: bool = True,
 ) -> DataFrame:
-    """A review CSV. Lines that do not fit the header are left out, or kept in
-    ``_malformed`` so that they can be counted.
+    """A review CSV, or a folder of them, each file in its own charset. Records
+    that do not fit the header are left out, or kept in ``_malformed`` so that
+    they can be counted (``malformed_counts``).
 
+    Quoted records may span lines. That reads each file in one task; pass
+    ``multi_line=False`` for huge files known to have a record per line.
     Columns are read as text unless a schema is given: nothing is inferred, so
     the file is scanned once.
     """
-    charset = detect_charset(spark, path, charsets) if len(charsets) > 1 else charsets[0]
+    groups = _by_charset(spark, path, charsets)
     if schema is None:
-        names = header_names(spark, path, charset, sep) if header else ["review"]
+        names = header_names(spark, groups[0][1], groups[0][0], sep) if header else ["review"]
         schema = StructType([StructField(n.lstrip("﻿"), StringType()) for n in names])
     elif isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     full = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    # Without this a query of few columns would not see surplus fields.
-    df = spark.read.option("columnPruning", False).csv(
-        path, schema=full, header=header, sep=sep, encoding=_java(charset), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
-        multiLine=multi_line, escape='"', enforceSchema=True,
-    )
+
+    def read(charset: str, files: str | list[str]) -> DataFrame:
+        # Without this a query of few columns would not see surplus fields.
+        return spark.read.option("columnPruning", False).csv(
+            files, schema=full, header=header, sep=sep, encoding=_java(charset), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+            multiLine=multi_line, escape='"', enforceSchema=True,
+        )
+
+    df = functools.reduce(DataFrame.unionByName, [read(c, files) for c, files in groups])
     return df if keep_malformed else df.where(F.col(CORRUPT).isNull() & _parsed(df)).drop(CORRUPT)
 
 
