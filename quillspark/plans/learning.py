@@ -6,7 +6,7 @@ from ..operators import balance as B, calibrate as C, linear as LI, metrics as M
 from ..session import stage
 from .base import TOKENS, documents, labelled, query, rank, rounded
 
-VOCAB = 2000
+VOCAB = 5000
 
 
 def _vectors(spark, d):
@@ -132,7 +132,7 @@ def lda_by_label(spark, d):
     out = None
     for lab in (0, 1):
         toks = TP.topic_tokens(labelled(spark, d).where(F.col("label") == lab).select("doc_id", "text"), stopwords=STOP)
-        vec, model, _ = TP.fit_lda(toks.select("doc_id", "tokens"), 6, iterations=5, vocab=VOCAB, learn_alpha=False)
+        vec, model, _ = TP.fit_lda(toks.select("doc_id", "tokens"), 6, vocab=VOCAB, learn_alpha=False)
         words = TP.topic_words(vec, model)
         one = spark.createDataFrame([(lab, i, r + 1, w) for i, ws in enumerate(words) for r, w in enumerate(ws)], "label int, topic int, rank int, term string")
         out = one if out is None else out.unionByName(one)
@@ -142,7 +142,7 @@ def lda_by_label(spark, d):
 @query("top_topic_table")
 def topic_table(spark, d):
     docs = _docs(spark, d)
-    vec, model, vectors = TP.fit_lda(docs.select("doc_id", "tokens"), 5, iterations=5, vocab=VOCAB)
+    vec, model, vectors = TP.fit_lda(docs.select("doc_id", "tokens"), 5, vocab=VOCAB)
     t = TP.topic_table(TP.topic_words(vec, model), TP.topic_distribution(model, vectors), docs)
     return t.withColumn("keywords", F.array_join("keywords", " "))
 
@@ -150,7 +150,7 @@ def topic_table(spark, d):
 @query("top_k_sweep")
 def k_sweep(spark, d):
     docs = stage(_docs(spark, d).select("doc_id", "tokens"), "topic-tokens")
-    return TP.sweep_topics(docs, (3, 5), iterations=3, vocab=VOCAB)
+    return TP.sweep_topics(docs, (5, 10, 15, 20), iterations=10, vocab=VOCAB)
 
 
 def _lists(spark, d, n=10):
