@@ -13,7 +13,7 @@ from pyspark.sql import Column, functions as F, types as T
 from . import lexicons as lx
 
 NON_WORD = r"[^\p{L}\p{N}_]+"
-ESCAPE = r"\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}"
+ESCAPE = r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\x[0-9a-fA-F]{2}"
 CONTROL = r"[\x00-\x1f\x7f-\x9f]"
 
 
@@ -23,22 +23,23 @@ def simple_clean(text: Column) -> Column:
     return F.regexp_replace(flat, r"(?U)^\s+|\s+$", "")
 
 
-@F.pandas_udf(T.StringType())
-def _decode_escapes(s: pd.Series) -> pd.Series:
-    def one(m):
-        ch = chr(int(m.group(0)[2:], 16))
-        return ch if ord(ch) > 127 and not 0xD800 <= ord(ch) < 0xE000 else m.group(0)
-
-    return s.str.replace(ESCAPE, one, regex=True)
+def _escaped_character(match: Column) -> Column:
+    digits = F.regexp_replace(match, r"\\[ux]", "")
+    units = F.lower(F.when(F.length(digits) == 2, F.concat(F.lit("00"), digits)).otherwise(digits))
+    kept = (F.length(units) == 4) & ((units <= "007f") | units.between("d800", "dfff"))
+    return F.when(kept, match).otherwise(F.decode(F.unhex(units), "UTF-16BE"))
 
 
 def decode_escapes(text: Column) -> Column:
     r"""Turn literal ``\uXXXX`` / ``\xHH`` into characters, one match at a time.
 
     A match is taken only when the result is non-ASCII, so real text around it
-    stays as it is. Rows without a match never leave the JVM as text.
+    stays as it is. Two escapes that form a surrogate pair are one character; a
+    lone surrogate stays as written.
     """
-    return F.when(text.rlike(ESCAPE), _decode_escapes(F.when(text.rlike(ESCAPE), text))).otherwise(text)
+    found = F.transform(F.regexp_extract_all(text, F.lit(ESCAPE), F.lit(0)), _escaped_character)
+    pieces = F.zip_with(F.split(text, ESCAPE, -1), found, lambda plain, ch: F.concat(plain, F.coalesce(ch, F.lit(""))))
+    return F.when(text.rlike(ESCAPE), F.array_join(pieces, "")).otherwise(text)
 
 
 def strip_control(text: Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .features import token_rows
-from .ranking import running_totals
+from .ranking import _null_safe, running_totals
 
 
 def side_counts(df: DataFrame, value: str, keys: Sequence[str] = (), *, side: str = "side", names: tuple[str, str] = ("reference", "current")) -> DataFrame:
@@ -38,7 +38,7 @@ def _shares(counts: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
     """Adds raw shares _p, _q and shares smoothed by alpha, _sp, _sq."""
     totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c"), F.count("*").alias("_k"))
     if keys:
-        s = counts.join(totals, list(keys))
+        s = _null_safe(counts, totals, list(keys), "inner")
     else:
         s = counts.withColumn("_t", totals.select(F.struct("_r", "_c", "_k").alias("t")).scalar()).select("*", "_t.*").drop("_t")
     smooth = F.col("_k") * alpha

@@ -93,11 +93,17 @@ def l2_normalize(v: Column) -> Column:
 
 
 def dense_vectors(weights: DataFrame, vocab: DataFrame, size: int, *, id_col: str = "doc_id", value: str = "tfidf") -> DataFrame:
-    """(id, embedding): TF-IDF weights laid out over a fixed small vocabulary."""
+    """(id, embedding): TF-IDF weights laid out over a fixed small vocabulary.
+
+    A vocabulary of more than ``size`` terms is an error.
+    """
     if size > 4096:
         raise ValueError("dense vectors are meant for small vocabularies")
-    # The vocabulary has at most `size` rows, so one window numbers it.
-    slots = vocab.select("term", (F.row_number().over(W.orderBy("term")) - 1).alias("slot"))
+    # One row more than fits is enough to raise, so one window numbers the terms
+    # and the broadcast stays small.
+    slots = vocab.select("term").limit(size + 1).select("term", (F.row_number().over(W.orderBy("term")) - 1).alias("slot"))
+    beyond = F.raise_error(F.lit(f"the vocabulary has more than {size} terms")).cast("int")
+    slots = slots.withColumn("slot", F.when(F.col("slot") < size, F.col("slot")).otherwise(beyond))
     pairs = weights.join(F.broadcast(slots), "term")
     packed = pairs.groupBy(id_col).agg(F.collect_list(F.struct(F.col("slot").cast("double").alias("slot"), F.col(value).alias("w"))).alias("_p"))
 

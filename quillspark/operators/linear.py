@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -27,8 +28,11 @@ def fit_vectorizer(df: DataFrame, max_features: int = 5000) -> PipelineModel:
 
     Spark's idf is ln((n+1)/(df+1)); adding one to its weights gives the usual
     smoothed definition. The vocabulary is capped, so it fits on the driver.
+    Without any token there is no model: a ValueError.
     """
     counts = CountVectorizer(inputCol="tokens", outputCol="_counts", vocabSize=max_features).fit(df)
+    if not counts.vocabulary:
+        raise ValueError("no tokens to fit on")
     idf = IDF(inputCol="_counts", outputCol="_idf").fit(counts.transform(df)).idf.toArray() + 1.0
     return PipelineModel(
         stages=[
@@ -94,12 +98,13 @@ def grid_search(df: DataFrame, estimator, grid: dict, *, fold_col: str = "fold",
 
 
 def fit_or_report(fit: Callable[[], DataFrame], df: DataFrame, *, model: str, keys: Sequence[str] = ("doc_id", "label")) -> DataFrame:
-    """Predictions with ``status``; a failed fit gives rows with NULL
-    predictions and status 'failed', never made-up labels."""
+    """Predictions with ``status``; a fit that the data do not allow (no rows, one
+    class, an empty vocabulary) gives rows with NULL predictions and status
+    'failed', never made-up labels. Other errors are raised."""
     try:
         out = fit()
         return out.select(*keys, F.col("pred").cast("int").alias("pred"), F.lit(model).alias("model"), F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"))
-    except Exception as e:  # noqa: BLE001 - the reason is part of the result
+    except (IllegalArgumentException, ValueError) as e:
         return df.select(
             *keys, F.lit(None).cast("int").alias("pred"), F.lit(model).alias("model"), F.lit("failed").alias("status"), F.lit(str(e)).alias("reason")
         )

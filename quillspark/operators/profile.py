@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import word_count
-from .ranking import exact_percentiles
+from .ranking import _null_safe, exact_percentiles
 
 
 def length_stats(df: DataFrame, keys: Sequence[str], *, text: str = "text") -> DataFrame:
@@ -70,7 +70,7 @@ def latency(df: DataFrame, *, value: str = "value", keys: Sequence[str] = (), pr
     """Exact interpolated percentiles and the mean of a latency log."""
     p = exact_percentiles(df, value, probs, keys)
     if keys:
-        return p.join(df.groupBy(*keys).agg(F.avg(value).alias("mean")), list(keys))
+        return _null_safe(p, df.groupBy(*keys).agg(F.avg(value).alias("mean")), list(keys), "inner")
     return p.withColumn("mean", df.agg(F.avg(value).alias("m")).scalar())
 
 

@@ -18,7 +18,7 @@ def test_simple_clean(spark, raw, want):
 
 @pytest.mark.parametrize(
     "raw, want",
-    [(r"\u4e2d\u6587", "中文"), (r"\u0041", r"\u0041"), (r"好\u4e2d", "好中"), (r"\xe9t\xe9", "été"), ("plain", "plain"), (r"\ud800x", r"\ud800x")],
+    [(r"\u4e2d\u6587", "中文"), (r"\u0041", r"\u0041"), (r"好\u4e2d", "好中"), (r"\xe9t\xe9", "été"), ("plain", "plain"), (r"\ud800x", r"\ud800x"), (r"a\uD83D\uDE00\u597d", "a😀好"), (None, None)],
 )
 def test_decode_escapes(spark, raw, want):
     assert one(spark, raw, T.decode_escapes) == want

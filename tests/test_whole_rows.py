@@ -83,3 +83,39 @@ def test_null_predictions_are_misses(spark):
     df = spark.createDataFrame([(1, 1), (0, None)], "label int, pred int")
     r = metrics.summary(df).first()
     assert (r["n"], r["accuracy"], r["macro_f1"]) == (2, 0.5, 0.5)
+
+
+def test_null_keys_keep_their_rows(spark):
+    from quillspark.operators import drift as D, profile as PR
+
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "k string, value double")
+    got = {r["k"]: r["mean"] for r in PR.latency(df, keys=["k"]).collect()}
+    assert got == {"a": 2.0, None: 5.0}
+    counts = spark.createDataFrame([("a", "x", 1, 1), (None, "x", 2, 0), (None, "y", 0, 2)], "k string, value string, n_ref long, n_cur long")
+    assert {r["k"]: r["n_values"] for r in D.divergences(counts, ["k"]).collect()} == {"a": 1, None: 2}
+
+
+def test_vocabulary_beyond_the_dense_size_is_an_error(spark):
+    from quillspark.operators import features as FE
+
+    weights = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.25)], "doc_id long, term string, tfidf double")
+    vocab = spark.createDataFrame([("a",), ("b",)], "term string")
+    assert FE.dense_vectors(weights, vocab, 3).first()["embedding"] == [0.5, 0.25, 0.0]
+    with pytest.raises(Exception, match="more than 1 terms"):
+        FE.dense_vectors(weights, vocab, 1).collect()
+
+
+def test_only_failures_of_the_data_are_reported(spark):
+    from quillspark.operators import linear as LI
+
+    df = spark.createDataFrame([(1, 0)], "doc_id long, label int")
+
+    def refused():
+        raise ValueError("one class")
+
+    def broken():
+        raise KeyError("typo")
+
+    assert LI.fit_or_report(refused, df, model="svm").first()["status"] == "failed"
+    with pytest.raises(KeyError):
+        LI.fit_or_report(broken, df, model="svm")
