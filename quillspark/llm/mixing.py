@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 The mix is a number of equal blocks of words. Blocks go to the sources by the
-highest quotients target / (2k + 1); each source's blocks go to its shards by
-the highest quotients of the shards' sizes. A shard then picks its blocks
-alone: its documents lie in a seeded order on a circle of words, and the quota
+highest quotients target / (2k + 1); the words of a source's blocks go one by
+one to its shards by the highest quotients of the shards' sizes. What a source
+or shard at its cap cannot take goes on to those with room. A shard then picks
+its words alone: its documents lie in a seeded order on a circle of words, and the quota
 is laid out from a seeded start. So a source with a third of all rows is as
 many tasks as there are shards, and no order over a whole source is needed.
 """
@@ -98,28 +99,30 @@ def mix(
 
     def by_source(batch: pd.DataFrame) -> pd.DataFrame:
         t = batch.sort_values("source", na_position="last")
-        return t.assign(quota=sainte_lague(t["target"].to_numpy(), seats, -(-t["size"].to_numpy() * repeat // unit)))
+        target, cap = t["target"].to_numpy(), t["size"].to_numpy() * repeat
+        quota = np.minimum(sainte_lague(target, seats, -(-cap // unit)) * unit, cap)
+        # the part of a last block above a cap goes to sources with room
+        return t.assign(quota=quota + sainte_lague(target, seats * unit - int(quota.sum()), cap - quota))
 
     def by_shard(batch: pd.DataFrame) -> pd.DataFrame:
         t = batch.sort_values("shard")
         cell = t["cell"].to_numpy()
-        return t.assign(blocks=sainte_lague(cell, int(t["quota"].iloc[0]), -(-cell * repeat // unit)))
+        return t.assign(asked=sainte_lague(cell, int(t["quota"].iloc[0]), cell * repeat))
 
     # one row per source, then at most `shards` rows per source
     quotas = plan.groupBy().applyInPandas(by_source, "source string, size long, weight double, target double, quota long")
     quotas = quotas.withColumnRenamed("size", "source_size").withColumnRenamed("source", "_source")
     quotas = cells.join(F.broadcast(quotas) if plan.count() <= 10_000 else quotas, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    schema = "source string, shard int, cell long, source_size long, weight double, target double, quota long, blocks long"
+    schema = "source string, shard int, cell long, source_size long, weight double, target double, quota long, asked long"
     quotas = stage(quotas.groupBy("source").applyInPandas(by_shard, schema), "mix-quotas")
 
-    q = quotas.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "cell", "source_size", "target", "blocks")
+    q = quotas.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "cell", "source_size", "target", F.col("asked").alias("_asked"))
     order = Window.partitionBy("source", "shard").orderBy(hashed(F.col("doc_id").cast("string"), seed + 1), "doc_id", "size")
     laid = rows.withColumn("at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     laid = laid.join(q, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
-    asked = F.least(F.col("blocks") * unit, F.col("cell") * repeat)  # the last block of a whole shard is short
     # a seeded start on the circle of the shard's words
     start = F.when(F.col("cell") > 0, F.pmod(hashed(F.concat_ws("\x1f", F.coalesce(F.col("source"), F.lit("")), F.col("shard").cast("string")), seed + 2), F.col("cell"))).otherwise(0)
-    laid = laid.withColumn("_asked", asked).withColumn("_from", start)
+    laid = laid.withColumn("_from", start)
 
     def passed(end: Column, cell: Column) -> Column:
         """Words taken of the places before ``end`` of the circle, on the way from the start."""

@@ -64,6 +64,18 @@ def test_mix_meets_targets(spark):
     assert np.allclose(by["target"], np.where(full, cap, weight * rate))
 
 
+def test_mix_meets_the_target_of_a_small_source(spark):
+    # small sources at or near their cap of 3 beside large ones; most shards of them hold less than a block
+    for small, length in ((300, 300), (3_000, 30)):
+        big = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(300).cast("long").alias("size"), F.concat(F.lit("s"), F.col("id") % 2).alias("source"))
+        few = spark.range(100_000, 100_000 + small).select(F.col("id").alias("doc_id"), F.lit(length).cast("long").alias("size"), F.lit("t").alias("source"))
+        for weight in (1.0, 0.04):
+            got = mixing.mix(big.union(few), lambda x: x.withColumn("weight", F.when(F.col("source") == "t", weight).otherwise(1.0)), size=F.col("size"))
+            assert got.where("taken > 3 * size").isEmpty()
+            for r in got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+                assert abs(r["taken"] - r["target"]) <= 0.01 * r["target"], (small, length, weight, r)
+
+
 def test_repeat_rows_keeps_columns(spark):
     d = docs(spark, ["a b c d"] * 20 + ODD).withColumn("size", F.lit("mine")).withColumn("copies", F.lit(7))
     out = mixing.repeat_rows(d)
