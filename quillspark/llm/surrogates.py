@@ -60,6 +60,11 @@ def _digest(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     return F.concat(*parts)
 
 
+def _grown(value: Column, attempt: Column) -> Column:
+    """The value, its last character once more for every second attempt: no form runs out of values."""
+    return F.concat(value, F.repeat(F.substring(value, F.char_length(value), F.lit(1)), F.floor(attempt / 2).cast("int")))
+
+
 def _letters(value: Column, digest: Column, fixed: Column) -> Column:
     """Each letter and digit from ``fixed`` on by one of its own class; all other characters stay."""
 
@@ -79,8 +84,8 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(d, step), F.lit(0), lambda a, x: a + x)
 
 
-def _card(value: Column, digest: Column) -> Column:
-    """Other digits in the same places; the first stays, and a valid check digit stays valid."""
+def _card(value: Column, long: Column, digest: Column) -> Column:
+    """Other digits in the places of ``long``; the first stays, and a valid check digit stays valid."""
 
     def fix(new: Column) -> Column:
         bare = lambda c: F.regexp_replace(c, r"\D", "")
@@ -88,7 +93,7 @@ def _card(value: Column, digest: Column) -> Column:
         check = F.pmod(-_luhn(F.concat(bare(body), F.lit("0"))), F.lit(10)).cast("string")
         return F.when(_luhn(bare(value)) % 10 == 0, F.concat(body, check)).otherwise(new)
 
-    return let(_letters(value, digest, F.lit(1)), fix)
+    return let(_letters(long, digest, F.lit(1)), fix)
 
 
 def _name(value: Column, digest: Column, key: str, kind: Column, attempt: Column) -> Column:
@@ -105,7 +110,8 @@ def _name(value: Column, digest: Column, key: str, kind: Column, attempt: Column
 
     def surname(s: str) -> Column:
         options = F.array(*map(F.lit, SYLLABLES[s]))
-        return F.initcap(F.concat(*[F.get(options, _byte(sur, F.lit(i)) % len(SYLLABLES[s])) for i in range(4)]))
+        places = F.sequence(F.lit(0), 3 + F.floor(attempt / 2).cast("int"))
+        return F.initcap(F.array_join(F.transform(places, lambda i: F.get(options, _byte(sur, i) % len(SYLLABLES[s]))), ""))
 
     new_first = F.lit("")
     for (gender, s), names in FIRST.items():
@@ -122,35 +128,36 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         at = F.instr(value, "@")
         host = F.substring(value, at, F.char_length(value))
         top = F.regexp_extract(value, r"(\.[A-Za-z]+)$", 1)
-        local = _letters(F.substring(value, F.lit(1), at - 1), d, F.lit(0))
+        local = _letters(_grown(F.substring(value, F.lit(1), at - 1), attempt), d, F.lit(0))
+        long = _grown(value, attempt)
         # the domain changes too, but for its last part
         domain = _letters(F.substring(host, F.lit(1), F.char_length(host) - F.char_length(top)), F.reverse(d), F.lit(0))
         code = F.char_length(F.regexp_extract(value, r"^(\+\d{1,3})", 1))
         return (
             F.when(kind == "email", F.concat(local, domain, top))
-            .when(kind == "ipv4", F.concat_ws(".", octet(0, 11, 200), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254)))
-            .when(kind == "phone", _letters(value, d, code))
-            .when(kind == "card", _card(value, d))
-            .when(kind == "iban", _letters(value, d, F.lit(2)))
+            .when(kind == "ipv4", F.concat_ws(".", octet(0, 11, 200), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254), F.when(attempt >= 64, octet(4, 1, 254))))
+            .when(kind == "phone", _letters(long, d, code))
+            .when(kind == "card", _card(value, long, d))
+            .when(kind == "iban", _letters(long, d, F.lit(2)))
             .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), F.substring(F.concat(F.reverse(d), d), F.lit(1), F.char_length(value))).otherwise(_letters(value, d, F.lit(4))))
             .when(kind == "name", _name(value, d, key, kind, attempt))
-            .otherwise(_letters(value, d, F.lit(0)))
+            .otherwise(_letters(long, d, F.lit(0)))
         )
 
     return let(d, make)
 
 
-def resolve(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
+def resolve(entities: DataFrame, key: str) -> DataFrame:
     """(value, surrogate) of all distinct entities, without collisions.
 
     An entity whose surrogate another one has, or which occurs as an entity
     itself, takes its next attempt; of those that share one, the least value
-    keeps it. Ends when nothing changes; in a form with too few values left an
-    error is raised after ``rounds``.
+    keeps it. Surrogates grow with the attempts, so every form has free values;
+    ends when nothing changes.
     """
     values = entities.select("value")
     taken = stage(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.lit(0), key)), "surrogates")
-    for _ in range(rounds):
+    while True:
         # settled entities first, so that a new attempt never takes what another one keeps
         rank = F.row_number().over(Window.partitionBy("surrogate").orderBy("attempt", "value"))
         real = values.select(F.col("value").alias("surrogate"), F.lit(True).alias("real"))
@@ -162,7 +169,6 @@ def resolve(entities: DataFrame, key: str, rounds: int = 50) -> DataFrame:
         moved = taken.join(bad, "value").withColumn("attempt", F.col("attempt") + 1)
         moved = moved.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
         taken = stage(taken.join(bad, "value", "left_anti").unionByName(moved), "surrogates")
-    raise ValueError("a form of entity has too few values for distinct surrogates")
 
 
 def replace_entities(df: DataFrame, key: str = "surrogate-key", text: str = "text", counts: bool = False) -> DataFrame:

@@ -183,6 +183,14 @@ def test_surrogates_collide_in_a_small_form(spark):
     assert len({r["surrogate"] for r in got}) == len(values) and max(r["attempt"] for r in got) > 0
 
 
+def test_surrogates_never_run_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    values = [f"{a}@{b}.de" for a in letters for b in letters]
+    e = spark.createDataFrame([(v, "email") for v in values], "value string, kind string")
+    got = [r["surrogate"] for r in surrogates.resolve(e, "k").collect()]
+    assert len(set(got)) == len(values) and not set(got) & set(values) and all(v.endswith(".de") and v.count("@") == 1 for v in got)
+
+
 # --- token files and packing --------------------------------------------------------------
 
 
