@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 from pyarrow import fs as pafs
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: One word: a run of characters outside ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_CAPITALS = re.compile("[A-Z]+")
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -18,6 +20,17 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def ascii_lower(text: Column) -> Column:
+    """A-Z in small letters, all other characters as they are."""
+    plain = F.octet_length(text) == F.char_length(text)  # no other letters: the fast built-in does the same
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def ascii_lowered(text: str) -> str:
+    """As ``ascii_lower``, for text inside a task."""
+    return text.lower() if text.isascii() else _CAPITALS.sub(lambda m: m[0].lower(), text)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed once per row.
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import adaptive_rules, crf, ftrl, mixing, packing, surrogates, tensor_minhash, va_search, warc, wavelet
+from . import adaptive_rules, crf, decontaminate, ftrl, importance, mixing, packing, phrases, surrogates, tensor_minhash, va_search, warc, wavelet
 from .common import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,92 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placements, _ = packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file())
     return placements.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op11_prefix_filter_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return got.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+_LETTERS = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LETTERS}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op11_prefix_filter_decontamination"] = f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS} as ws from documents),
+i as (select item_id, {_WORDS} as ws from benchmark),
+w as (select distinct item_id, case when len(ws) < 10 then ws else ws[k:k + 9] end as win from i, lateral (select unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as k) where len(ws) > 0),
+n as (select distinct len(win) as size from w),
+p as (select r, k, size, ws[k:k + size - 1] as win from d, n, lateral (select unnest(range(1, greatest(len(ws) - size + 1, 0) + 1)) as k)),
+o as (select r, k, size, item_id from p join w using (win)),
+h as (select r, count(distinct k + j) as n_hit from o, lateral (select unnest(range(size)) as j) group by r),
+m as (select r, count(distinct item_id) as n_items, array_to_string(list_sort(list_distinct(list(cast(item_id as varchar)))), ',') as items from o group by r)
+select doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (r) left join m using (r)"""
+
+
+@query
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# SQL has no CRC-32: eight steps for each bit of each byte of the distinct words
+_CRC_STEP = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+ORACLES["op12_target_resampling"] = f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS} as ws from documents),
+x as (select r, unnest(ws) as word from d),
+y as (select unnest({_WORDS}) as word from benchmark),
+u as (select distinct word, hex(encode(word)) as code from (select word from x union select word from y)),
+t0 as (select range as b, cast(range as bigint) as c from range(256)),
+t1 as (select b, {_CRC_STEP} as c from t0), t2 as (select b, {_CRC_STEP} as c from t1), t3 as (select b, {_CRC_STEP} as c from t2),
+t4 as (select b, {_CRC_STEP} as c from t3), t5 as (select b, {_CRC_STEP} as c from t4), t6 as (select b, {_CRC_STEP} as c from t5),
+t7 as (select b, {_CRC_STEP} as c from t6), t8 as (select b, {_CRC_STEP} as c from t7),
+tab as (select list(c order by b) as tab from t8),
+crc as (select word, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(cast(length(code) / 2 as bigint)), lambda j: cast(concat('0x', substr(code, 2 * j + 1, 2)) as bigint))),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket from u, tab),
+s as (select bucket, count(*) as s from x join crc using (word) group by 1),
+t as (select bucket, count(*) as t from y join crc using (word) group by 1),
+g as (select range as bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1.0::double) * ((select count(*) from x) + 10000.0::double)
+  / ((coalesce(s, 0) + 1.0::double) * ((select count(*) from y) + 10000.0::double)))) as bigint) as gain
+  from range(10000) left join s on s.bucket = range left join t on t.bucket = range),
+w as (select r, sum(gain) as weight from x join crc using (word) join g using (bucket) group by r),
+f as (select r, doc_id, cast(len(ws) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+  cast(concat('0x', substr(sha256(concat('2024:', cast(doc_id as varchar))), 1, 8)) as bigint) as h from d left join w using (r)),
+c as (select *, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296.0::double))) as bigint) as score from f),
+k as (select r, row_number() over (order by score desc, doc_id) as rank from c where n_features >= 20)
+select doc_id, n_features, weight, score, case when rank <= (select 10 * count(*) // 100 from c where n_features >= 20) then rank end as rank
+from c left join k using (r)"""
+
+
+@query
+def op13_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = phrases.collocations(table(spark, sf_dir, "documents"))
+    return got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+ORACLES["op13_toivonen_collocations"] = rf"""
+with p as (select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LETTERS}, '[.,;:!?
+-
+]')) as piece from documents),
+w as (select row_number() over () as id, lang, [x for x in string_split_regex(piece, '[ 	]+') if x <> ''] as ws from p),
+e as (select id, lang, unnest(ws) as w0, unnest(range(len(ws))) as i from w),
+g as (select lang, w0, lead(w0) over o as w1, lead(w0, 2) over o as w2 from e window o as (partition by id order by i)),
+f1 as (select lang, w0 as phrase, count(*) as f from g group by 1, 2),
+f2 as (select lang, concat(w0, ' ', w1) as phrase, w0, w1, count(*) as f from g where w1 is not null group by all having count(*) >= 10),
+f3 as (select lang, concat(w0, ' ', w1, ' ', w2) as phrase, w0, w1, w2, count(*) as f from g where w2 is not null group by all having count(*) >= 10),
+n as (select lang, count(*) as n from e group by 1),
+c as (select lang, phrase, f as a, 1 as k, w0 as lp, w1 as rp from f2 union all select lang, phrase, f, 1, w0, concat(w1, ' ', w2) from f3
+  union all select lang, phrase, f, 2, concat(w0, ' ', w1), w2 from f3),
+f as (select lang, phrase, f from f1 union all select lang, phrase, f from f2),
+s as (select c.*, x.f as l, y.f as r, cast((1000000::hugeint * a * a) // (x.f::hugeint * y.f) as bigint) as score
+  from c join f x on x.lang = c.lang and x.phrase = lp join f y on y.lang = c.lang and y.phrase = rp),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+m as (select lang, phrase, max(f) as most from (select lang, concat(w0, ' ', w1) as phrase, f from f3 union all select lang, concat(w1, ' ', w2), f from f3) group by all),
+q as (select b.lang, b.phrase, a, l, r, n, score from b join n using (lang) left join m on m.lang = b.lang and m.phrase = b.phrase where most is null or 100 * most < 50 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from q
+qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000"""
