@@ -14,8 +14,8 @@ counted without need; the counts stay exact. Each phrase is counted by exactly
 one pass: the first whose arrays hold both its parts.
 
 Nulls: a null text has no words, a null lang is ``und``. Equal rows count each.
-Texts of any length are cut up whole; a task holds the codes of two million
-words at a time. Empty tables give no phrase. More columns are ignored.
+Texts of any length are cut up whole; a task holds the codes of a
+million words at a time. Empty tables give no phrase. More columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from .common import ascii_lowered, spread_rows
 BREAKS = ".,;:!?\n\x0b\x0c\r"
 _TOKEN = re.compile(r"[.,;:!?\x0A-\x0D]|[^\x20\x09.,;:!?\x0A-\x0D]+")
 #: Words whose codes a task holds before it hands on their counts.
-HELD = 2_000_000
+HELD = 1_000_000
 #: Bits of a filter: 32 a proposal, between these bounds (16 MB).
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -110,7 +110,8 @@ def _counted(lang: str, codes: np.ndarray, words: list[str], max_words: int, old
         yield 0, pa.array([""]), np.array([n[1:].sum()])
         some = np.flatnonzero(n[1:])
         yield 1, lookup.take(pa.array(some)), n[1:][some]
-    word_hash = np.concatenate([np.zeros(1, np.uint64), _word_hash(lang, words)])[codes]
+    hashed = any(f is not None for f in now)
+    word_hash = np.concatenate([np.zeros(1, np.uint64), _word_hash(lang, words) if hashed else np.zeros(len(words), np.uint64)])[codes]
     h, valid = word_hash, codes > 0
     for size in range(2, max_words + 1):
         m = len(codes) - size + 1
@@ -138,17 +139,14 @@ def count_phrases(rows: DataFrame, max_words: int, old: Filters | None, now: Fil
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, after = shared.value
-        codes, parts, total = _Codes(), {}, 0
+        codes: dict[str, _Codes] = {}
+        parts: dict[str, list[np.ndarray]] = {}
+        total = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = codes.words()
-            for lang, some in parts.items():
+            for lang in list(parts):
                 # a break lies between texts, so no phrase runs across
-                for size, phrase, n in _counted(lang, np.concatenate(some), words, max_words, before, after):
-                    k = len(n)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * k, pa.string()), pa.array(np.full(k, size, np.int32)), phrase, pa.array(n.astype(np.int64))], ["lang", "size", "phrase", "f"]
-                    )
+                yield from _rows(lang, np.concatenate(parts.pop(lang)), codes.pop(lang).words(), max_words, before, after)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -156,15 +154,25 @@ def count_phrases(rows: DataFrame, max_words: int, old: Filters | None, now: Fil
                 if len(found) > held:
                     yield from _long_text(lang, found, max_words, before, after, held)
                     continue
-                got = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
-                parts.setdefault(lang, []).extend((got, np.zeros(1, np.int64)))
+                number = codes.setdefault(lang, _Codes()).__getitem__
+                got = np.fromiter(map(number, found), np.int32, len(found))
+                parts.setdefault(lang, []).extend((got, np.zeros(1, np.int32)))
                 total += len(found)
                 if total >= held:
                     yield from flush()
-                    codes, parts, total = _Codes(), {}, 0
+                    total = 0
         yield from flush()
 
-    return rows.mapInArrow(run, _COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    # a task's counts hardly meet again in it, so they are added up behind the shuffle
+    partial = rows.mapInArrow(run, _COUNTS).repartition("lang", "size", "phrase")
+    return partial.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+
+
+def _rows(lang: str, codes: np.ndarray, words: list[str], max_words: int, before: Filters | None, after: Filters, sign: int = 1) -> Iterator[pa.RecordBatch]:
+    for size, phrase, n in _counted(lang, codes, words, max_words, before, after):
+        k = len(n)
+        columns = [pa.array([lang] * k, pa.string()), pa.array(np.full(k, size, np.int32)), phrase, pa.array(sign * n.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "f"])
 
 
 def _long_text(lang: str, found: list[str], max_words: int, before: Filters | None, after: Filters, held: int) -> Iterator[pa.RecordBatch]:
@@ -175,12 +183,8 @@ def _long_text(lang: str, found: list[str], max_words: int, before: Filters | No
             if not some:
                 continue
             codes = _Codes()
-            got = np.fromiter(map(codes.__getitem__, some), np.int64, len(some))
-            for size, phrase, n in _counted(lang, got, codes.words(), max_words, before, after):
-                k = len(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * k, pa.string()), pa.array(np.full(k, size, np.int32)), phrase, pa.array(sign * n.astype(np.int64))], ["lang", "size", "phrase", "f"]
-                )
+            got = np.fromiter(map(codes.__getitem__, some), np.int32, len(some))
+            yield from _rows(lang, got, codes.words(), max_words, before, after, sign)
 
 
 def _hashes(lang: list[str], phrase: list[str]) -> np.ndarray:
