@@ -5,13 +5,14 @@ proposed. The full pass counts every phrase whose two parts (without the last
 and without the first word) are proposed: these are the proposals and their
 negative border, that is the smallest phrases that were not proposed, single
 words included. If a phrase of the border turns out frequent, the border fails:
-it joins the proposals, and a further pass counts the phrases that this adds.
-When no pass adds one, all frequent phrases are counted, whatever the sample.
+it joins the proposals, and an expansion pass counts the phrases that this adds,
+those that grow out of phrases it counts itself included. So one expansion
+closes the set: all frequent phrases are counted, whatever the sample.
 
 The proposals travel as one bit array for each length (a Bloom filter of at
 most ``MOST_BITS``), so what is broadcast is bounded. A false hit has a phrase
 counted without need; the counts stay exact. Each phrase is counted by exactly
-one pass: the first whose arrays hold both its parts.
+one pass.
 
 Nulls: a null text has no words, a null lang is ``und``. Equal rows count each.
 Texts of any length are cut up whole; a task holds the codes of a
@@ -102,40 +103,59 @@ def _distinct(columns: list[np.ndarray], top: int) -> tuple[list[np.ndarray], np
 Filters = list  # one bit array (or None: all) for each length of phrase below the longest
 
 
-def _counted(lang: str, codes: np.ndarray, words: list[str], max_words: int, old: Filters | None, now: Filters) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of a stretch: phrases whose parts are in ``now`` and were not in ``old``."""
+def _counted(lang: str, codes: np.ndarray, words: list[str], max_words: int, first: Filters | None, now: Filters) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(length, phrases, counts) of a stretch.
+
+    The full pass (``first`` is None) counts all words and the phrases whose
+    parts ``now`` holds. The expansion counts the phrases that the full pass,
+    with its filters ``first``, did not, if their parts are held by ``now`` or
+    counted by the expansion itself.
+    """
     lookup = pa.array(words, pa.string())
-    if old is None:
+    if first is None:
         n = np.bincount(codes, minlength=len(words) + 1)
         yield 0, pa.array([""]), np.array([n[1:].sum()])
         some = np.flatnonzero(n[1:])
         yield 1, lookup.take(pa.array(some)), n[1:][some]
+    zero = np.zeros(1, np.uint64)
     hashed = any(f is not None for f in now)
-    word_hash = np.concatenate([np.zeros(1, np.uint64), _word_hash(lang, words) if hashed else np.zeros(len(words), np.uint64)])[codes]
-    h, valid = word_hash, codes > 0
+    word_hash = np.concatenate([zero, _word_hash(lang, words)]) if hashed else np.zeros(len(words) + 1, np.uint64)
+    break_is_out = np.arange(len(words) + 1) > 0
+    inside = (_holds(now[0], word_hash) & break_is_out)[codes]
+    before = (_holds(first[0], word_hash) & break_is_out)[codes] if first is not None else None
+    ends = word_hash[codes]
     for size in range(2, max_words + 1):
         m = len(codes) - size + 1
         if m <= 0:
             return
-        inside = _holds(now[size - 2], h)
-        take = valid[:m] & valid[1 : m + 1] & inside[:m] & inside[1 : m + 1]
-        if old is not None:
-            before = _holds(old[size - 2], h)
-            take &= ~(before[:m] & before[1 : m + 1])
+        both = inside[:m] & inside[1 : m + 1]
+        take = both if before is None else both & ~(before[:m] & before[1 : m + 1])
         at = np.flatnonzero(take)
         if len(at):
             columns, n = _distinct([codes[at + i] for i in range(size)], len(words))
             yield size, pc.binary_join_element_wise(*[lookup.take(pa.array(c - 1)) for c in columns], " "), n
-        h, valid = _extend(h[:m], word_hash[size - 1 :]), valid[:m] & valid[1 : m + 1]
-
-
-def count_phrases(rows: DataFrame, max_words: int, old: Filters | None, now: Filters, held: int = HELD) -> DataFrame:
+        if size == max_words:
+            return
+        # a phrase that is held has held parts, so only those places are looked up
+        at = np.flatnonzero(both)
+        h = ends[at]
+        for i in range(1, size):
+            h = _extend(h, ends[at + i])
+        inside, held = np.zeros(m, bool), _holds(now[size - 1], h)
+        inside[at] = held if first is None else held | take[at]
+        if first is not None:
+            before, was = np.zeros(m, bool), before[:m] & before[1 : m + 1]
+            old = was[at]
+            before[at[old]] = _holds(first[size - 1], h[old])
+
+
+def count_phrases(rows: DataFrame, max_words: int, first: Filters | None, now: Filters, held: int = HELD) -> DataFrame:
     """(lang, size, phrase, f): exact counts of one pass; size 0 holds the number of words.
 
     A task counts stretches of ``held`` words on its own before anything is
     shuffled. Longer texts are cut where a phrase is counted on one side only.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((old, now))
+    shared = rows.sparkSession.sparkContext.broadcast((first, now))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, after = shared.value
@@ -187,27 +207,50 @@ def _long_text(lang: str, found: list[str], max_words: int, before: Filters | No
             yield from _rows(lang, got, codes.words(), max_words, before, after, sign)
 
 
-def _hashes(lang: list[str], phrase: list[str]) -> np.ndarray:
+class _WordHashes(dict):
+    """Hashes of the words of one language, each computed once."""
+
+    def __init__(self, lang: str):
+        super().__init__()
+        self.lang = lang
+
+    def __missing__(self, word: str) -> np.uint64:
+        self[word] = h = _word_hash(self.lang, [word])[0]
+        return h
+
+
+def _hashes(lang: pa.Array, size: np.ndarray, phrase: pa.Array) -> np.ndarray:
     """Hashes of phrases as the counting pass computes them."""
-    out = np.zeros(len(phrase), np.uint64)
-    for i, (g, p) in enumerate(zip(lang, phrase)):
-        words = _word_hash(g, p.split(" "))
-        h = words[:1]
-        for w in range(1, len(words)):
-            h = _extend(h, words[w : w + 1])
-        out[i] = h[0]
+    out = np.zeros(len(size), np.uint64)
+    for g in pc.unique(lang).to_pylist():
+        known = _WordHashes(g)
+        mine = pc.equal(lang, g).to_numpy(zero_copy_only=False)
+        for s in np.unique(size[mine]):
+            at = np.flatnonzero(mine & (size == s))
+            words = " ".join(phrase.take(pa.array(at)).to_pylist()).split(" ")
+            columns = np.fromiter(map(known.__getitem__, words), np.uint64, len(words)).reshape(-1, s)
+            h = columns[:, 0]
+            for w in range(1, s):
+                h = _extend(h, columns[:, w])
+            out[at] = h
     return out
 
 
-def build_filters(phrases: DataFrame, max_words: int, most_bits: int = MOST_BITS) -> Filters:
-    """One bit array for each length 1 .. max_words - 1, put together from parts of all tasks."""
+def build_filters(phrases: DataFrame, max_words: int, most_bits: int = MOST_BITS, beside: Filters | None = None) -> Filters:
+    """One bit array for each length 1 .. max_words - 1, put together from parts of all tasks.
+
+    With ``beside``, the phrases are added to those filters, and the arrays are
+    at least as long.
+    """
     sizes = {r["size"]: r["n"] for r in phrases.groupBy("size").agg(F.count("*").alias("n")).collect()}
     bits = [min(max(1 << (32 * sizes.get(s, 0)).bit_length(), LEAST_BITS), most_bits) for s in range(1, max_words)]
+    if beside is not None:
+        bits = [max(b, 64 * len(f)) for b, f in zip(bits, beside)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = batch.column("size").to_numpy()
-            h = _hashes(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            h = _hashes(batch.column("lang"), size, batch.column("phrase"))
             for s in np.unique(size):
                 at = np.concatenate(_probes(h[size == s], bits[s - 1]))
                 slot, back = np.unique(at >> np.uint64(6), return_inverse=True)
@@ -218,21 +261,15 @@ def build_filters(phrases: DataFrame, max_words: int, most_bits: int = MOST_BITS
                 )
 
     merged = phrases.select("lang", "size", "phrase").mapInArrow(run, "size int, slot long, bits long").groupBy("size", "slot").agg(F.bit_or("bits").alias("bits"))
-    out = [np.zeros(b // 64, np.uint64) for b in bits]
+    # places are remainders of powers of two, so a longer array holds a shorter one several times
+    out = [np.zeros(b // 64, np.uint64) if beside is None else np.tile(beside[i], b // 64 // len(beside[i])) for i, b in enumerate(bits)]
     got = merged.toArrow()  # at most most_bits / 64 rows for each length
     size, slot, value = (got.column(c).to_numpy() for c in ("size", "slot", "bits"))
     for s in range(1, max_words):
-        out[s - 1][slot[size == s]] = value[size == s].view(np.uint64)
+        out[s - 1][slot[size == s]] |= value[size == s].view(np.uint64)
     return out
 
 
-def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Union of two filters; the longer one is folded to the shorter, as places are remainders of powers of two."""
-    n = min(len(a), len(b))
-    fold = lambda x: np.bitwise_or.reduce(x.reshape(-1, n), axis=0)
-    return fold(a) | fold(b)
-
-
 def outside(phrases: DataFrame, filters: Filters) -> DataFrame:
     """The phrases that no filter holds."""
     shared = phrases.sparkSession.sparkContext.broadcast(filters)
@@ -241,7 +278,7 @@ def outside(phrases: DataFrame, filters: Filters) -> DataFrame:
         arrays = shared.value
         for batch in batches:
             size = batch.column("size").to_numpy()
-            h = _hashes(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())
+            h = _hashes(batch.column("lang"), size, batch.column("phrase"))
             inside = np.zeros(len(size), bool)
             for s in np.unique(size):
                 inside[size == s] = _holds(arrays[s - 1], h[size == s])
@@ -264,15 +301,14 @@ def frequent_phrases(
     lowered = max(2, min_count // (2 * one_in))
     everything: Filters = [None] * (max_words - 1)
     proposed = count_phrases(sample, max_words, None, everything, held).where((F.col("f") >= lowered) & F.col("size").between(1, max_words - 1))
-    now, old, found = build_filters(stage(proposed, "proposals"), max_words, most_bits), None, None
-    while True:
-        counts = count_phrases(rows, max_words, old, now, held)
-        new = stage(counts.where((F.col("f") >= min_count) | (F.col("size") == 0)), "phrases")
-        found = new if found is None else found.unionByName(new)
-        failed = stage(outside(new.where(F.col("size").between(1, max_words - 1)), now), "border-failures")
-        if failed.isEmpty():
-            return found
-        old, now = now, [_joined(a, b) for a, b in zip(now, build_filters(failed, max_words, most_bits))]
+    first = build_filters(stage(proposed, "proposals"), max_words, most_bits)
+    wanted = (F.col("f") >= min_count) | (F.col("size") == 0)
+    found = stage(count_phrases(rows, max_words, None, first, held).where(wanted), "phrases")
+    failed = stage(outside(found.where(F.col("size").between(1, max_words - 1)), first), "border-failures")
+    if failed.isEmpty():
+        return found
+    now = build_filters(failed, max_words, most_bits, first)
+    return found.unionByName(stage(count_phrases(rows, max_words, first, now, held).where(wanted), "phrases"))
 
 
 def score_phrases(counts: DataFrame, *, max_words: int = 3, percent: int = 50) -> DataFrame:
