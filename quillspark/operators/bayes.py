@@ -138,20 +138,14 @@ def top_features(model: DataFrame, k: int = 10, *, classes: Sequence[int] = (0,
     return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def cross_validate(
-    docs: DataFrame, k: int = 5, *, id_col: str = "doc_id", label: str = "label", text: str = "text",
-    alpha: float = 1.0, max_features: int = 20_000, balance: bool = True, seed: int = 42, keep: Sequence[str] = (),
-) -> DataFrame:
-    """Out-of-fold predictions of k models fitted in one job.
-
-    The training part of each fold is balanced on its own; the held-out rows
-    are never copied into it.
+def fold_copies(docs: DataFrame, k: int = 5, *, id_col: str = "doc_id", label: str = "label", balance: bool = True, seed: int = 42) -> DataFrame:
+    """(id, fold, _c0 .. _c<k-1>): how often each row is in the training part of
+    each fold. The parts are balanced on their own; held-out rows are in none.
     """
     from ..session import stage
     from .balance import copies_to_majority
     from .splits import stratified_folds
 
-    names = [f"f{i}" for i in range(k)]
     folded = stratified_folds(docs.select(id_col, label), k, id_col=id_col, label=label, seed=seed)
     if balance:
         # Balance every training part at once: a row appears once per fold it
@@ -166,7 +160,20 @@ def cross_validate(
     else:
         plan = folded.select(id_col, "fold", *[(F.col("fold") != i).cast("bigint").alias(f"_c{i}") for i in range(k)])
     # Fit, priors and scores all need the plan; it is a few integers per row.
-    plan = stage(plan, "fold-plan")
+    return stage(plan, "fold-plan")
+
+
+def cross_validate(
+    docs: DataFrame, k: int = 5, *, id_col: str = "doc_id", label: str = "label", text: str = "text",
+    alpha: float = 1.0, max_features: int = 20_000, balance: bool = True, seed: int = 42, keep: Sequence[str] = (),
+) -> DataFrame:
+    """Out-of-fold predictions of k models fitted in one job.
+
+    The training part of each fold is balanced on its own; the held-out rows
+    are never copied into it.
+    """
+    names = [f"f{i}" for i in range(k)]
+    plan = fold_copies(docs, k, id_col=id_col, label=label, balance=balance, seed=seed)
     folded = docs.join(plan, id_col)
     weights = {n: F.col(f"_c{i}") for i, n in enumerate(names)}
     model = fit(folded, weights, label=label, text=text, alpha=alpha, max_features=max_features)

@@ -2,71 +2,69 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import balance as B, calibrate as C, linear as LI, metrics as M, splits as SP, topics as TP
+from ..operators import balance as B, blocks as BL, calibrate as C, linear as LI, metrics as M, splits as SP, svm as SV, topics as TP
 from ..session import stage
-from .base import TOKENS, documents, labelled, query, rank, rounded
+from .base import LAB, TOKENS, documents, labelled, query, rank, rounded
+from .margins import svm_grid
 
 VOCAB = 5000
 
 
-def _vectors(spark, d):
-    """Train, validation and test vectors; the vectorizer sees training rows only."""
+def _parts(spark, d):
     parts = SP.stratified_parts(LI.with_tokens(labelled(spark, d))).select("doc_id", "label", "domain", "split", "tokens")
-    parts = stage(parts, "parts")
-    vec = LI.fit_vectorizer(parts.where("split = 'train'"), VOCAB)
-    return vec, vec.transform(parts).select("doc_id", "label", "domain", "split", "features")
+    return stage(parts, "parts")
 
 
-def _fit(spark, d, kind):
-    vec, v = _vectors(spark, d)
-    train = B.add_class_weight(v.where("split = 'train'"))
-    est = LI.linear_svc(1e-3, 20, "weight") if kind == "svm" else LI.logistic(1e-3, 20, "weight")
-    return vec, LI.fit_on_cached(est, train), v
+def _svm(spark, d):
+    """A machine with balanced class weights; vocabulary and idf come from the training rows only."""
+    parts = _parts(spark, d)
+    train = F.col("split") == "train"
+    weighted = B.class_weights(parts.where(train)).select("label", F.col("weight").alias("class_weight"))
+    rows = stage(parts.join(F.broadcast(weighted), "label", "left"), "weighted")  # a row for each class
+    blocks = BL.build(rows, {"m": train.cast("long")}, VOCAB, weights={"m": F.when(train, F.col("class_weight")).otherwise(0.0)})
+    return rows, blocks, SV.fit(blocks, max_iter=2000)
 
 
-def _predict(model, v):
-    return model.transform(v).withColumn("pred", F.col("prediction").cast("int"))
+def _svm_scored(spark, d):
+    rows, blocks, machines = _svm(spark, d)
+    m = SV.margins(blocks, machines, ["margin"]).join(rows.select(F.col("doc_id").alias("id"), "label", "split"), "id")
+    return m.select(F.col("id").alias("doc_id"), "label", "split", (F.col("margin") > 0).cast("int").alias("pred"), "margin")
 
 
 @query("mod_linear_svm")
 def svm(spark, d):
-    _, model, v = _fit(spark, d, "svm")
-    return C.margin_of(_predict(model, v.where("split = 'test'"))).select("doc_id", "label", "pred", "margin")
+    return _svm_scored(spark, d).where("split = 'test'").select("doc_id", "label", "pred", "margin")
 
 
 @query("mod_logistic")
 def logistic(spark, d):
-    _, model, v = _fit(spark, d, "lr")
-    return _predict(model, v.where("split = 'test'")).select("doc_id", "label", "pred")
+    """Logistic regression, run until it converges; the vectorizer sees training rows only."""
+    parts = _parts(spark, d)
+    vec = LI.fit_vectorizer(parts.where("split = 'train'"), VOCAB)
+    v = vec.transform(parts).select("doc_id", "label", "split", "features")
+    model = LI.fit_on_cached(LI.logistic(1e-3, 1000, "weight"), B.add_class_weight(v.where("split = 'train'")))
+    return model.transform(v.where("split = 'test'")).select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
 
 
 @query("mod_svm_report")
 def svm_report(spark, d):
-    _, model, v = _fit(spark, d, "svm")
-    return M.report(_predict(model, v.where("split = 'test'")))
+    return M.report(_svm_scored(spark, d).where("split = 'test'"))
 
 
 @query("mod_svm_top_features")
 def svm_features(spark, d):
-    vec, model, _ = _fit(spark, d, "svm")
-    return LI.top_coefficients(LI.coefficients(vec, model))
+    _, blocks, machines = _svm(spark, d)
+    return LI.top_coefficients(SV.coefficients(spark, machines, blocks.scale).where("term is not null").select("term", "weight"))
 
 
 @query("mod_grid_search")
 def grid(spark, d):
-    """Cost and iteration grid of the linear SVM over stratified folds."""
-    folds = SP.stratified_folds(LI.with_tokens(labelled(spark, d)), 3).select("doc_id", "label", "fold", "tokens")
-    folds = stage(folds, "folds")
-    v = LI.fit_vectorizer(folds, VOCAB).transform(folds).select("label", "fold", "features")
-    n = folds.count()
-    _, table_ = LI.grid_search(v, LI.linear_svc(), {"regParam": [LI.regularization(c, n) for c in (0.1, 1.0)], "maxIter": [10, 20]}, folds=3)
-    return table_
+    """Cost and iteration grid of the linear SVM over five stratified folds."""
+    return svm_grid(spark, d)
 
 
 def _margins(spark, d):
-    _, model, v = _fit(spark, d, "svm")
-    m = C.margin_of(_predict(model, v.where("split <> 'train'")))
-    m = stage(m.select("doc_id", "label", "split", "pred", "margin"), "margins")
+    m = stage(_svm_scored(spark, d).where("split <> 'train'"), "margins")
     return m.where("split = 'valid'"), m.where("split = 'test'")
 
 
@@ -104,17 +102,13 @@ def svc_probability(spark, d):
     return p.select("doc_id", "label", "prob", (F.col("prob") > 0.5).cast("int").alias("pred"))
 
 
-@query("mod_failed_fit")
+@query("mod_failed_fit", f"""with {LAB}, g as (select domain, source, count(distinct label) as k from lab group by 1, 2)
+select doc_id, label, domain, source, case when k < 2 then 'failed' else 'ok' end as status from lab join g on lab.domain is not distinct from g.domain and lab.source is not distinct from g.source""".replace("select doc_id, label, domain, source, case", "select doc_id, label, lab.domain, lab.source, case"))
 def failed_fit(spark, d):
-    """A fit on a single class is reported as failed, with no predictions."""
-    lab = labelled(spark, d).select("doc_id", "label", "text")
-
-    def fit():
-        one = lab.where("label = 9")
-        vec = LI.fit_vectorizer(LI.with_tokens(one), VOCAB)
-        return _predict(LI.linear_svc().fit(vec.transform(LI.with_tokens(one))), one)
-
-    return LI.fit_or_report(fit, lab, model="svm")
+    """A machine for every domain and source, fitted together; groups of one class are reported as failed."""
+    rows = stage(LI.with_tokens(labelled(spark, d)).select("doc_id", "label", "domain", "source", "tokens"), "groups")
+    preds = SV.fit_groups(rows, ["domain", "source"], VOCAB)
+    return preds.select("doc_id", "label", "domain", "source", "status")
 
 
 # --- topics ---------------------------------------------------------------------------
