@@ -21,6 +21,7 @@ from ..session import stage
 from .vocabulary import code_rows, top_terms
 
 BLOCK = 1024  # documents in a block
+BLOCKS_PER_TASK = 4
 _BLOCK_DDL = "n int, ids binary, y binary, w binary, ends binary, code binary, tf binary"
 
 
@@ -105,7 +106,10 @@ def build(
                     ["n", "ids", "y", "w", "ends", "code", "tf"],
                 )
 
-    return Blocks(stage(table.mapInArrow(run, _BLOCK_DDL), "blocks"), names, terms, scale, unit)
+    written = stage(table.mapInArrow(run, _BLOCK_DDL), "blocks")
+    # many passes over few blocks: some blocks a task (the count comes from the file footers)
+    tasks = max(1, -(-written.count() // BLOCKS_PER_TASK))
+    return Blocks(written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written, names, terms, scale, unit)
 
 
 def total(blocks: Blocks, use: Callable[[Block], np.ndarray], size: int) -> np.ndarray:

@@ -107,7 +107,7 @@ select doc_id, label, domain, source, case when k < 2 then 'failed' else 'ok' en
 def failed_fit(spark, d):
     """A machine for every domain and source, fitted together; groups of one class are reported as failed."""
     rows = stage(LI.with_tokens(labelled(spark, d)).select("doc_id", "label", "domain", "source", "tokens"), "groups")
-    preds = SV.fit_groups(rows, ["domain", "source"], VOCAB)
+    preds = SV.fit_groups(rows, ["domain", "source"], 1000)
     return preds.select("doc_id", "label", "domain", "source", "status")
 
 

@@ -12,7 +12,7 @@ from .models import _BAL, _R, _SPLIT, VOCAB, _domains
 ALPHAS = (0.1, 0.5, 1.0, 2.0)
 COSTS, ITERATIONS = (0.1, 1.0, 5.0, 10.0), (1000, 3000)
 CV_VOCAB = 20_000
-TOLERANCE = 1e-5
+TOLERANCE = 1e-4
 
 
 def with_terms(df, pairs=True):
