@@ -1,9 +1,8 @@
 """Exact cosine top-k over vectors.
 
-Vectors are compared block against block with a matrix product inside tasks;
-only the k best per query and block are emitted. A query set that is proven
-small is broadcast and the corpus is read once without a shuffle. A larger one
-is laid out as a grid of (query block, corpus block) cells of bounded size.
+A query set that is proven small is broadcast: the corpus is read once without
+a shuffle, and only the k best per query and task are emitted. A larger one is
+joined by pivot cells (``knn``), which compares only what can be a neighbour.
 """
 
 from __future__ import annotations
@@ -14,10 +13,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .knn import ROWS_PER_CELL, knn_join, usable
 from .ranking import top_n
 
 MAX_BROADCAST_QUERIES = 4096
-BLOCK_ROWS = 8192  # rows of one side of a grid cell
+MAX_BROADCAST_BYTES = 64 << 20
 _QUERY_STEP = 512  # queries per matrix product
 _DIGITS = 9  # similarities that agree to here are ties, broken by id
 _HITS = pa.schema([("query_id", pa.int64()), ("neighbor_id", pa.int64()), ("similarity", pa.float64())])
@@ -71,18 +71,23 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
 
 def topk(
     queries: DataFrame, corpus: DataFrame, k: int, *, id_col: str = "vec_id", vector: str = "embedding",
-    exclude_self: bool = True, max_broadcast: int = MAX_BROADCAST_QUERIES,
+    exclude_self: bool = True, max_broadcast: int = MAX_BROADCAST_QUERIES, rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """(query_id, rank, neighbor_id, similarity), the k nearest rows by cosine.
 
-    The number of queries is checked first; it decides between the two plans,
-    which give the same rows.
+    The number and size of the queries are checked first; they decide between
+    the two plans, which give the same rows. Rows without a usable vector (null,
+    empty, null or non-finite components) take no part; vectors meet only
+    vectors of their own length.
     """
-    q = queries.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
-    c = corpus.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v")).where(F.col("v").isNotNull())
+    q = queries.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v")).where(usable("v"))
+    c = corpus.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v")).where(usable("v"))
     few = q.limit(max_broadcast + 1).toArrow()
-    if few.num_rows > max_broadcast:
-        return _ranked(_grid(q.withColumn("g", F.lit(0)), c.withColumn("g", F.lit(0)), k, exclude_self), k)
+    lengths = few.column("v").combine_chunks().value_lengths().unique()
+    if few.num_rows > max_broadcast or few.nbytes > MAX_BROADCAST_BYTES or len(lengths) > 1:
+        one = lambda side: side.select(F.lit(0).alias("g"), "id", "v")
+        return knn_join(one(q), one(c), k, exclude_self=exclude_self, rows_per_cell=rows_per_cell)
+    c = c.where(F.size("v") == (lengths[0].as_py() if len(lengths) else 0))
     held = q.sparkSession.sparkContext.broadcast((few.column("id").to_numpy(), _unit_rows(few.column("v"))))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,38 +112,10 @@ def topk(
     return _ranked(c.mapInArrow(scan, _HITS_DDL), k)
 
 
-def _grid(q: DataFrame, c: DataFrame, k: int, exclude_self: bool, block: int = BLOCK_ROWS) -> DataFrame:
-    """Top-k per cell of a (query block x corpus block) grid inside ``g``.
-
-    Blocks are cut by a hash of the row id, so cells stay near ``block`` rows
-    a side even when one group has most of the rows.
-    """
-    nq = q.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("nq"))
-    nc = c.groupBy("g").agg(F.ceil(F.count("*") / block).cast("int").alias("nc"))
-    size = nq.join(nc, "g")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    qs = q.join(size, "g").withColumn("qb", own("nq")).withColumn("cb", upto("nc")).select("g", "qb", "cb", "id", "v")
-    cs = c.join(size, "g").withColumn("cb", own("nc")).withColumn("qb", upto("nq")).select("g", "qb", "cb", "id", "v")
-
-    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _HITS.empty_table()
-        hits = _block_hits(
-            left.column("id").to_numpy(), _unit_rows(left.column("v")), right.column("id").to_numpy(), _unit_rows(right.column("v")), k, exclude_self
-        )
-        return pa.Table.from_batches([hits])
-
-    return qs.groupBy("g", "qb", "cb").cogroup(cs.groupBy("g", "qb", "cb")).applyInArrow(cell, _HITS_DDL)
-
-
 def topk_within(df: DataFrame, *, group: str, id_col: str = "vec_id", vector: str = "embedding", k: int = 5) -> DataFrame:
     """The k nearest rows of the same group, for every row."""
-    # Each side gets columns of its own, or the two could not be told apart.
-    side = lambda: df.select(
-        F.col(group).alias("g"), F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v")
-    ).where(F.col("v").isNotNull())
-    return _ranked(_grid(side(), side(), k, True), k)
+    side = df.select(F.col(group).alias("g"), F.col(id_col).cast("bigint").alias("id"), F.col(vector).alias("v"))
+    return knn_join(side, side, k)
 
 
 def with_attributes(hits: DataFrame, rows: DataFrame, columns: Sequence[str], *, id_col: str = "vec_id", side: str = "neighbor") -> DataFrame:

@@ -173,7 +173,7 @@ def test_grid_with_several_blocks(spark):
     vecs = [(i, [rnd.random() for _ in range(4)]) for i in range(90)]
     df = spark.createDataFrame(vecs, "vec_id bigint, embedding array<float>")
     side = lambda: df.select(F.lit(0).alias("g"), F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
-    got = {(r["query_id"], r["rank"], r["neighbor_id"]) for r in R._ranked(R._grid(side(), side(), 3, True, block=16), 3).collect()}
+    got = {(r["query_id"], r["rank"], r["neighbor_id"]) for r in R.knn_join(side(), side(), 3, block=16).collect()}
     assert got == brute_topk(vecs, vecs, 3)
 
 
