@@ -193,3 +193,23 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n:
     before the shuffle (window group limit), so a hot key stays small."""
     w = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
+
+
+def global_rank(df: DataFrame, order: Sequence[Column | str], rank: str = "rank", *, rows_per_range: int = 200_000) -> DataFrame:
+    """Rank 1..n of all rows in one order, no task seeing more than a range of them.
+
+    Rows are dealt out by ranges of the order and written, so the ranges stay
+    the same; each range is ranked behind the rows of the ranges before it.
+    Rows that are equal in the whole order fall into one range.
+    """
+    from ..session import stage
+
+    order = [F.asc(c) if isinstance(c, str) else c for c in order]
+    rows = stage(df, "to-rank")
+    ranges = min(4096, max(1, -(-rows.count() // rows_per_range)))
+    dealt = stage(rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranked-ranges")
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # at most 4,096 rows
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return dealt.join(F.broadcast(offsets), "_range").withColumn(rank, F.col("_before") + inside).drop("_range", "_before")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import chance, hash_key
-from .ranking import _null_safe, hash_rank, hash_rank_for_cuts
+from ..session import stage
+from .ranking import _null_safe, global_rank, hash_rank, hash_rank_for_cuts
 
 
 def sample_n(df: DataFrame, n: int, *, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
@@ -30,17 +31,22 @@ def balanced_down(df: DataFrame, *, label: str = "label", id_col: str = "doc_id"
 
 
 def largest_remainder_quota(counts: DataFrame, n: int, *, key: str, count: str = "n") -> DataFrame:
-    """Integer quotas per class that add up to exactly min(n, total)."""
-    everything = W.partitionBy(F.lit(1))  # one row per class
-    total = F.sum(count).over(everything)
-    size = F.least(F.lit(n).cast("bigint"), total)
+    """Integer quotas per class that add up to exactly min(n, total).
+
+    Classes may be as many as rows: totals are aggregates, and the classes with
+    the largest remainders are found by a rank that is spread over the cluster.
+    Equal remainders go to the smaller key.
+    """
+    total = counts.agg(F.sum(count).cast("bigint").alias("t"))
+    size = F.least(F.lit(n).cast("bigint"), F.col("_total"))
     # quota = floor(count * size / total); the remainder is kept as an integer.
-    q = counts.withColumn("_size", size).withColumn("_total", total)
-    q = q.withColumn("quota", F.floor(F.col(count) * F.col("_size") / F.col("_total")))
+    q = counts.withColumn("_total", total.scalar()).withColumn("_size", size)
+    q = q.withColumn("quota", F.expr(f"(`{count}` * _size) div _total"))
     q = q.withColumn("_rem", F.col(count) * F.col("_size") - F.col("quota") * F.col("_total"))
-    left = F.col("_size") - F.sum("quota").over(everything)
-    nth = F.row_number().over(everything.orderBy(F.desc("_rem"), F.asc(key)))
-    return q.withColumn("quota", F.col("quota") + F.when(nth <= left, 1).otherwise(0)).drop("_size", "_total", "_rem")
+    ranked = stage(global_rank(q, [F.desc("_rem"), F.asc(key)], "_nth"), "quotas")
+    given = ranked.agg((F.max("_size") - F.sum("quota")).alias("left"))
+    extra = (F.col("_nth") <= given.scalar()).cast("bigint")
+    return ranked.withColumn("quota", F.col("quota") + extra).drop("_size", "_total", "_rem", "_nth")
 
 
 def proportional_sample(df: DataFrame, n: int = 200, *, label: str = "label", id_col: str = "doc_id", seed: int = 42) -> DataFrame:

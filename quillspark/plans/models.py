@@ -147,6 +147,56 @@ def top_features(spark, d):
     return rounded(NB.top_features(model).select("class", "rank", "term", "logprob"), "logprob")
 
 
+# --- calibration of the margins, held out by parity of the id -----------------------------
+
+_MARGIN = f"{_NB_FULL}, mg as (select doc_id, label, s1 - s0 as m from nb), va as (select * from mg where doc_id % 2 = 0), ap as (select * from mg where doc_id % 2 = 1)"
+
+
+def _platt_sql(rounds=15):
+    """Newton rounds, each a pair of tables: the step, then the best of its lengths."""
+    out = f"""{_MARGIN}, pc as (select count(*) filter (label = 1) as p, count(*) filter (label <> 1) as n, case when max(abs(m)) > 0 then max(abs(m)) else 1 end as u from va),
+pt as (select m / u as x, case when label = 1 then (p + 1.0::double) / (p + 2.0::double) else 1.0::double / (n + 2.0::double) end as t from va, pc),
+w0 as (select 0.0::double as a, ln((p + 1.0::double) / (n + 1.0::double)) as b from pc)"""
+    for i in range(rounds):
+        out += f""",
+g{i} as (select a, b, sum((q - t) * x) as ga, sum(q - t) as gb, sum(q * (1 - q) * x * x) + 1e-12 as aa, sum(q * (1 - q) * x) as ab, sum(q * (1 - q)) + 1e-12 as bb
+  from (select *, 1 / (1 + exp(-(a * x + b))) as q from pt, w{i}) group by a, b),
+c{i} as (select a - s * (bb * ga - ab * gb) / (aa * bb - ab * ab) as a, b - s * (aa * gb - ab * ga) / (aa * bb - ab * ab) as b, s from g{i}, (values (1.0::double), (0.5), (0.25), (0.125), (0.0625), (0.0)) l(s)),
+w{i + 1} as materialized (select a, b from (select a, b, s, sum(greatest(a * x + b, 0) - (a * x + b) * t + ln(1 + exp(-abs(a * x + b)))) as loss from c{i}, pt group by a, b, s) order by round(loss, 10), s desc limit 1)"""
+    return out + f" select doc_id, label, round(1 / (1 + exp(-(a * m / u + b))), 6) as prob from ap, pc, w{rounds}"
+
+
+def _halves(spark, d):
+    from ..session import stage
+
+    m = nb_predictions(spark, d).select("doc_id", "label", (F.col("s_m_1") - F.col("s_m_0")).alias("margin"))
+    m = stage(m, "nb-margins")
+    return m.where("doc_id % 2 = 0"), m.where("doc_id % 2 = 1")
+
+
+@query("cal_platt_nb", f"with {_platt_sql()}")
+def platt_nb(spark, d):
+    """Platt scaling of Naive Bayes margins."""
+    from ..operators import calibrate as C
+
+    valid, rest = _halves(spark, d)
+    return rounded(C.platt_apply(C.platt_fit(valid), rest).select("doc_id", "label", "prob"), "prob")
+
+
+@query(
+    "cal_temperature_nb",
+    f"""with {_MARGIN}, gr as (select round(0.1 * i, 1)::double as t from range(1, 101) x(i)),
+nl as (select t, avg(case when z > 0 then ln(1 + exp(-z)) else ln(1 + exp(z)) - z end) as nll from (select t, case when label = 1 then m else -m end / t as z from va, gr) group by t),
+bt as (select t from nl order by round(nll, 10), t limit 1) select doc_id, label, round(1 / (1 + exp(-m / t)), 6) as prob from ap, bt""",
+)
+def temperature_nb(spark, d):
+    """Temperature scaling of Naive Bayes margins."""
+    from ..operators import calibrate as C
+
+    valid, rest = _halves(spark, d)
+    return rounded(C.temperature_apply(rest, C.temperature_fit(valid)).select("doc_id", "label", "prob"), "prob")
+
+
 @query("mod_nb_batch_scoring", f"with {_SPLIT}, {_BAL}, te as (select doc_id from documents), tex as (select doc_id, text from documents), {nb_sql(test='tex')} select doc_id, round(prob, 6) as prob, cast(prob > 0.5 as integer) as label from nb")
 def batch_scoring(spark, d):
     """Every document, labelled or not, scored by the fitted model."""
