@@ -13,9 +13,10 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from .blocks import Block, Blocks, build, each_row, total
@@ -52,6 +53,14 @@ def fit(
     weights 0 and is marked as not converged. Rows with a label other than 0
     and 1 are left out.
     """
+    held = blocks.table.persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass; lost parts are read again from the files
+    try:
+        return _fit(replace(blocks, table=held), cost, of, tolerance, max_iter, cg_steps)
+    finally:
+        held.unpersist()
+
+
+def _fit(blocks: Blocks, cost: float | Sequence[float], of: Sequence[int] | None, tolerance: float, max_iter: int, cg_steps: int) -> Machines:
     of = list(range(len(blocks.models))) if of is None else list(of)
     c = np.broadcast_to(np.asarray(cost, float), (len(of),)).copy()
     k, size, scale, unit = len(of), len(blocks.terms) + 1, blocks.scale, blocks.unit
