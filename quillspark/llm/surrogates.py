@@ -67,12 +67,12 @@ _IPV4 = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _H = "[0-9A-Fa-f]{1,4}"
 #: Type and pattern, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![\p{L}\p{N}-])",
-    "secret": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|[0-9a-f]{32,64})(?![\p{L}\p{N}])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}(?![\p{L}\p{N}-])",
+    "secret": r"(?<![\p{L}\p{N}])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-(?=[A-Za-z_-]*+\d)[A-Za-z0-9_-]{20,}+|sk-[A-Za-z0-9]{20,}+|[0-9a-f]{32,}+)(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?\d{3}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
+    "phone": r"(?<![\d+])\+\d{1,3} ?\(0\) ?\d{2,5}(?:[ ./-]?\d{2,9}){1,4}(?!\d)|(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?\d{3}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     # national forms: France, Germany, Spain by threes or twos, North America without separators
     "national": r"(?<![\p{L}\p{N}+])(?<!\p{N}[.,-])(?:0[1-9](?:[ .-]?\d{2}){4}|\(?0\d{2,4}\)?[ /-]{1,3}(?:\d{5,9}|\d{2,5}(?:[ -]\d{2,5}){1,3})|[6-9]\d{2}(?:[ .-]?\d{3}){2}|[6-9]\d{2}(?:[ .-]\d{2}){3}|[2-9]\d{9})(?![\p{L}\p{N}])",
@@ -137,6 +137,29 @@ def _card(value: Column, long: Column, digest: Column) -> Column:
     return let(_letters(long, digest, F.lit(1)), fix)
 
 
+def _mod97(account: Column) -> Column:
+    """The remainder of an account number without spaces, country and check digits moved to its end."""
+    turned = F.concat(F.substring(account, F.lit(5), F.char_length(account)), F.substring(account, 1, 4))
+
+    def step(a: Column, c: Column) -> Column:
+        return F.when(c.rlike(r"^\d$"), (a * 10 + F.try_to_number(c, F.lit("9")).cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(F.split(turned, "(?!^)(?!$)"), F.lit(0), step)
+
+
+def _iban(value: Column, long: Column, digest: Column) -> Column:
+    """Other letters and digits behind the country; valid check digits stay valid."""
+    bare = lambda c: F.regexp_replace(c, " ", "")
+
+    def fix(new: Column) -> Column:
+        zero = F.concat(F.substring(bare(new), 1, 2), F.lit("00"), F.substring(bare(new), F.lit(5), F.char_length(new)))
+        check = F.lpad((F.lit(98) - _mod97(zero)).cast("string"), 2, "0")
+        valid = F.concat(F.substring(new, 1, 2), check, F.substring(new, F.lit(5), F.char_length(new)))
+        return F.when(_mod97(bare(value)) == 1, valid).otherwise(new)
+
+    return let(_letters(long, digest, F.lit(2)), fix)
+
+
 _TOKEN = r"\s+|[^\s.]+\.?|\."
 
 
@@ -228,14 +251,14 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         long = _grown(value, attempt)
         # the domain changes too, but for its last part
         domain = _letters(F.substring(host, F.lit(1), F.char_length(host) - F.char_length(top)), F.reverse(d), F.lit(0))
-        code = F.char_length(F.regexp_extract(value, r"^(\+\d{1,3})", 1))
+        code = F.char_length(F.regexp_extract(value, r"^(\+\d{1,3}(?: ?\(0\))?)", 1))
         return (
             F.when(kind == "email", F.concat(local, domain, top))
             .when(kind == "ipv4", F.concat_ws(".", octet(0, 11, 200), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254), F.when(attempt >= 64, octet(4, 1, 254))))
             .when(kind == "phone", _letters(long, d, code))
             .when(kind == "card", _card(value, long, d))
-            .when(kind == "iban", _letters(long, d, F.lit(2)))
-            .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), F.substring(F.concat(F.reverse(d), d), F.lit(1), F.char_length(value))).otherwise(_letters(value, d, F.lit(4))))
+            .when(kind == "iban", _iban(value, long, d))
+            .when(kind == "secret", F.when(value.rlike("^[0-9a-f]+$"), F.substring(F.repeat(F.concat(F.reverse(d), d), F.ceil(F.char_length(value) / 512).cast("int")), F.lit(1), F.char_length(value))).otherwise(_letters(value, d, F.lit(4))))
             .when(kind == "name", _surname(value, d, attempt))
             .when(kind == "national", _letters(long, d, F.when(value.startswith("("), 2).otherwise(1)))
             .when(kind == "ipv6", _ipv6(value, d, attempt))
@@ -272,8 +295,8 @@ def resolve(entities: DataFrame, key: str) -> DataFrame:
 def replace_entities(df: DataFrame, key: str = "surrogate-key", text: str = "text", counts: bool = False) -> DataFrame:
     """The same rows with every entity of ``text`` replaced; other columns pass through.
 
-    Null texts stay null and empty ones empty. With ``counts``, ``n_entities``
-    is added. The texts are scanned twice: for the distinct entities, and to
+    Null texts stay null and empty ones empty; equal rows give equal rows. With
+    ``counts``, ``n_entities`` is added, in place of a column of that name. The texts are scanned twice: for the distinct entities, and to
     replace them; entities that needed more than one attempt are joined by
     value, all others are derived again in place, so no text is shuffled.
     """
@@ -311,5 +334,5 @@ def replace_entities(df: DataFrame, key: str = "surrogate-key", text: str = "tex
     gaps = F.when(F.col("_any").isNull(), F.split(body, ANY, -1)).otherwise(F.split(body, F.col("_any"), -1))
     pieces = F.zip_with(gaps, "_new", lambda g, n: F.concat(g, F.coalesce(n, F.lit(""))))
     new = F.when(F.size("_new") > 0, F.array_join(pieces, "")).otherwise(body)
-    out = [new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    out = [new.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in df.columns if not (counts and c == "n_entities")]
     return rows.select(*out, *([F.greatest(F.size("_hits"), F.lit(0)).alias("n_entities")] if counts else []))

@@ -202,6 +202,23 @@ def test_surrogates_of_many_forms(spark):
     assert "van der" in got[3] and got[3].split()[1].endswith(",")
 
 
+def test_surrogates_of_long_forms(spark):
+    mail, key, hexa = "a" * 70 + "@example.org", "sk-" + "Ab3" * 30, "0123456789abcdef" * 50
+    texts = [f"write to {mail} now", f"key {key}.", f"hash {hexa}!", "key sk-proj-aB3_dE6-gH9jK2mN5pQ8rS1", "tel +49 (0)30 1234567", "to DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432.", "DE00 3704 0044 0532 0130 00"]
+    d = docs(spark, texts * 2).withColumn("n_entities", F.lit("old"))
+    out = surrogates.replace_entities(d, counts=True)
+    assert out.columns.count("n_entities") == 1
+    rows = out.orderBy("doc_id").collect()
+    got = [r["text"] for r in rows]
+    assert got[: len(texts)] == got[len(texts) :] and [r["n_entities"] for r in rows[: len(texts)]] == [1, 1, 1, 1, 1, 2, 1]
+    for new, gone in zip(got, ["aaaa", "Ab3Ab3", "0123456789abcdef", "aB3_dE6", "1234567", "WEST", "3704"]):
+        assert gone not in new, new
+    assert [len(x) for x in got[:4]] == [len(x) for x in texts[:4]] and got[4].startswith("tel +49 (0)")
+    number = lambda a: int("".join(str(int(c, 36)) for c in (a[4:] + a[:4]).replace(" ", "")))
+    first, second = got[5][3:].rstrip(".").split(" and ")
+    assert number(first.replace(" ", "")) % 97 == 1 == number(second) % 97 and first[:2] == "DE" and second[:2] == "GB"
+
+
 def test_surrogates_never_run_out(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     values = [f"{a}@{b}.de" for a in letters for b in letters]
@@ -442,3 +459,21 @@ def test_pipeline_on_odd_documents(spark, empty, tmp_path):
         if name == "pii":
             assert step.where("text like '%a.b@c.example.org%'").isEmpty()
     assert (corpus_pipeline.STAGES[-1][1](spark, step, str(tmp_path)).count() == 0) == empty
+
+
+def test_pipeline_dedup_keeps_every_text(spark):
+    """Against the components of all pairs: one row of each group, whatever its id."""
+    import corpus_pipeline
+
+    rng = random.Random(15)
+    texts = [sentence(rng, 40) for _ in range(12)]
+    near = texts[0].rsplit(" ", 1)[0] + " changed"
+    ids = [0, 1, 2, 3, 4, 5, 5, 5, None, None, None, -7, 1 << 62, 9, 9, 10]
+    of = [texts[0], texts[1], near, texts[2], texts[1], texts[3], texts[4], texts[3], texts[5], texts[5], texts[6], texts[7], texts[8], texts[9], texts[1], None]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in zip(ids, of)]
+    d = corpus_pipeline.stage(spark.createDataFrame(rows, DOCS), "dedup-rows")
+    got = corpus_pipeline.near_dedup(spark, d, "")
+    assert got.columns == d.columns and got.dtypes == d.dtypes
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert sorted(t or "" for _, t in kept) == sorted({t or "" for t in of} - {near})
+    assert {(0, texts[0]), (1, texts[1]), (5, texts[3]), (5, texts[4]), (None, texts[5]), (None, texts[6]), (9, texts[9]), (10, None)} <= set(kept)
