@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each result as Parquet into the shared folder and reads it back for the next.
 All stages but the last return the columns of ``documents``. Nulls: a document
 without text has no language and goes; a null doc_id, lang or source stays as
-it is. Equal rows are near duplicates of each other, so one stays. Empty tables
+it is. Equal rows are near duplicates of each other, so one stays; rows of one
+id with different texts are different documents. Empty tables
 pass through all stages.
 """
 
@@ -18,6 +19,7 @@ from quillspark.session import stage
 
 #: A text is rejected if no language holds this share of its words.
 LEAST_SHARE = 0.3
+_NUMBERS = 1 << 62  # numbers of rows without an id of their own start here
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,15 +32,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the one with the smallest id; rows without an id stay."""
-    found = tensor_minhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    rows = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    # rows with equal ids are one document; the first by content stays
-    again = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = rows.join(again, "doc_id", "left_anti").select(*docs.columns)
-    first = rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
-    return single.union(first.select(*docs.columns)).union(docs.where("doc_id is null"))
+    """Keep one document of each group: the one with the smallest id.
+
+    Rows whose id is null, negative, very large or found twice get a number of
+    their own above all ids, so rows of one id with different texts are
+    different documents, and copies among rows without an id go as others do.
+    """
+    names = docs.columns
+    again = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    plain = F.col("doc_id").between(0, _NUMBERS - 1)
+    single = docs.where(plain).join(again, "doc_id", "left_anti").select(*names)
+    odd = docs.where(plain).join(again, "doc_id", "left_semi").select(*names).union(docs.where(~F.coalesce(plain, F.lit(False))))
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    odd = stage(odd.select((F.monotonically_increasing_id() + _NUMBERS).alias("number"), row), "pipeline-numbered")
+    found = tensor_minhash.near_duplicates(single.select("doc_id", "text").union(odd.select("number", "row.text")))
+    kept = stage(found.where("kept").select("doc_id"), "pipeline-kept")
+    rest = odd.join(kept.withColumnRenamed("doc_id", "number"), "number", "left_semi").select("row.*")
+    return single.join(kept, "doc_id", "left_semi").select(*names).union(rest.select(*names))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
