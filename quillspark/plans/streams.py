@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import bayes as NB
-from ..streaming import monitor as MO
+from ..session import staging_path
+from ..streaming import drift_windows as DW, monitor as MO
 from .base import PRED, query, rounded, table
 from .models import VOCAB, _BAL, _SPLIT, nb_fitted, nb_sql
 from .profiling import _js_sql, _ks_sql
@@ -114,3 +115,31 @@ def windowed_drift(spark, d):
     work = MO.drift_against(ref, ["value"], ["event_type"])
     out = MO.drain_per_batch(event_stream(spark, d), work, "drift", "drift_share double, n_drifted bigint, status string")
     return rounded(out.drop("batch_id"), "drift_share")
+
+
+_CUT = "greatest(length(bin(x)) - 8, 0)"
+
+
+@query(
+    "str_drift_windows",
+    f"""with {PRED}, ev as (select date_trunc('day', ts) as w, ts, value, event_type, cast(floor(abs(value) * 100.0::double) as bigint) as x from events),
+ek as (select *, case when value < 0 then -1 else 1 end * ((x >> {_CUT}) << {_CUT}) as k from ev),
+cl as (select * from ek where w + interval 1 day <= (select max(ts) from pred) - interval 1 hour), ws as (select w, count(*) as n_rows from cl group by 1),
+rf as (select * from ek where ts < timestamp '2024-01-20'),
+nu as (select w, k, sum(a) as a, sum(c) as c from (select w, k, 0 as a, 1 as c from cl union all select ws.w, k, 1, 0 from rf, ws) where k is not null group by 1, 2),
+nc as (select w, sum(a) over o as ca, sum(c) over o as cc, sum(a) over p as na, sum(c) over p as nb from nu window o as (partition by w order by k), p as (partition by w)),
+ks as (select w, max(abs(ca::double / na - cc::double / nb)) > 1.3581::double * sqrt((max(na)::double + max(nb)) / (max(na)::double * max(nb))) as drifted from nc group by 1),
+ca as (select w, event_type, sum(a) as a, sum(c) as c from (select w, event_type, 0 as a, 1 as c from cl union all select ws.w, event_type, 1, 0 from rf, ws) group by 1, 2),
+cp as (select w, a::double / sum(a) over (partition by w) as p, c::double / sum(c) over (partition by w) as q from ca),
+js as (select w, sqrt(greatest(sum((case when p > 0 then p * ln(p / ((p + q) / 2)) else 0 end + case when q > 0 then q * ln(q / ((p + q) / 2)) else 0 end) / 2) / ln(2.0::double), 0)) > 0.1 as drifted from cp group by 1),
+al as (select w, avg(cast(drifted as integer)) as s, count(*) filter (drifted) as n_drifted from (select * from ks union all select * from js) group by 1)
+select w as window_start, n_rows, round(s, 6) as drift_share, n_drifted, case when s > 0.3 then 'WARNING' when s > 0 then 'INFO' else 'OK' end as status from ws join al using (w)""",
+)
+def drift_windows(spark, d):
+    """Drift of each day of the event stream against the first days, read once."""
+    numeric, categories = {"value": 100.0}, ["event_type"]
+    ref = DW.reference_sketch(table(spark, d, "events").where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")), numeric, categories)
+    root = staging_path(spark, "drift-windows")
+    DW.windowed_drift(event_stream(spark, d), ref, numeric, categories, f"{root}/data", f"{root}/checkpoint").awaitTermination()
+    out = spark.read.schema(DW.SCHEMA + ", batch_id int").parquet(f"{root}/data").drop("batch_id")
+    return rounded(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), "drift_share")

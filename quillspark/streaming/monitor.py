@@ -49,8 +49,8 @@ def label_stream(df: DataFrame, rules: Mapping[str, Rule], *, text: str = "text"
     return vote(apply_rules(df, rules, text=text), list(rules))
 
 
-def per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
-    """Apply a batch operator to each micro-batch.
+def per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, *, available_now: bool = True) -> StreamingQuery:
+    """Apply a batch operator to each micro-batch, of what has arrived or, if not ``available_now``, without end.
 
     Each batch overwrites its own folder, so a repeated batch after a failure
     leaves one copy of its rows.
@@ -64,7 +64,7 @@ def per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, c
             held.unpersist()
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return w.trigger(availableNow=True).start()
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def drain_per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], name: str, schema: str) -> DataFrame:
