@@ -239,6 +239,25 @@ def csv_round_trip(spark, d):
     return RV.read_reviews(spark, path)
 
 
+@query(
+    "src_mixed_charsets",
+    """select cast(doc_id as varchar) as doc_id, concat(text, chr(10), '"', source, '", 评论') as text, lang as domain from documents""",
+)
+def mixed_charsets(spark, d):
+    """Records over several lines, half of the files in UTF-8 and half in
+    GB18030, read back as one table."""
+    from ..session import staging_path
+    from ..sources import records as RC, reviews as RV, sinks as SK
+
+    text = F.concat("text", F.lit('\n"'), "source", F.lit('", 评论')).alias("text")
+    docs = documents(spark, d).select("doc_id", text, "domain")
+    path = staging_path(spark, "reviews-charsets")
+    with RC.lenient(spark):
+        for i, charset in enumerate(("UTF-8", "GB18030")):
+            SK.write_table(docs.where(F.col("doc_id") % 2 == i), f"{path}/{charset}", fmt="csv", encoding=charset)
+    return RV.read_reviews(spark, [f"{path}/UTF-8", f"{path}/GB18030"])
+
+
 @query("src_partitioned_table", "select source, count(*) as n, cast(sum(n_chars) as bigint) as chars from documents where lang = 'de' group by 1")
 def partitioned_table(spark, d):
     """A table partitioned by domain; one domain reads one folder."""

@@ -8,14 +8,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "error") -> None:
-    """Parquet by default; CSV is UTF-8 with a header and without a BOM.
+def write_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "error", encoding: str = "UTF-8") -> None:
+    """Parquet by default; CSV has a header, no BOM, and is UTF-8 unless another
+    encoding is named.
 
     Arrays have no CSV form and are written space-joined.
     """
     if fmt == "csv":
         df = df.select(*[F.array_join(c, " ").alias(c) if t.startswith("array<string") else F.col(c) for c, t in df.dtypes])
-        w = df.write.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+        w = df.write.option("header", True).option("encoding", encoding).option("escape", '"')
     else:
         w = df.write
     if partition_by:
