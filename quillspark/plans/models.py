@@ -197,6 +197,26 @@ def temperature_nb(spark, d):
     return rounded(C.temperature_apply(rest, C.temperature_fit(valid)).select("doc_id", "label", "prob"), "prob")
 
 
+@query(
+    "cal_isotonic_nb",
+    f"""with {_MARGIN}, points as (select round(m, 6) as x, count(*) as n, sum(cast(label = 1 as bigint)) as s from va where m is not null group by 1),
+totals as (select x, row_number() over (order by x) as i, sum(n) over (order by x) as cn, sum(s) over (order by x) as cs, sum(n) over (order by x) - n as bn, sum(s) over (order by x) - s as bs from points),
+spans as (select a.i as a, b.i as b, min((b.cs - a.bs)::double / (b.cn - a.bn)::double) over (partition by a.i order by b.i desc) as least from totals a join totals b on a.i <= b.i),
+fitted as (select b as i, max(least) as y from spans group by b), iso as (select totals.x, y from fitted join totals using (i)),
+asked as (select doc_id, label, round(m, 6) as x from ap),
+below as (select t.doc_id, max(iso.x) as x0, arg_max(iso.y, iso.x) as y0 from asked t left join iso on iso.x <= t.x group by 1),
+above as (select t.doc_id, min(iso.x) as x1, arg_min(iso.y, iso.x) as y1 from asked t left join iso on iso.x >= t.x group by 1)
+select doc_id, label, round(case when x0 is null then y1 when x1 is null then y0 when x0 = x1 then y0 else y0 + (y1 - y0) / (x1 - x0) * (x - x0) end, 6) as prob
+from asked t join below using (doc_id) join above using (doc_id)""",
+)
+def isotonic_nb(spark, d):
+    """Isotonic calibration of Naive Bayes margins, which the SQL derives from the max-min formula."""
+    from ..operators import isotonic as I
+
+    valid, rest = (rounded(x, "margin") for x in _halves(spark, d))
+    return rounded(I.isotonic_probabilities(rest, I.isotonic_blocks(valid)).select("doc_id", "label", "prob"), "prob")
+
+
 @query("mod_nb_batch_scoring", f"with {_SPLIT}, {_BAL}, te as (select doc_id from documents), tex as (select doc_id, text from documents), {nb_sql(test='tex')} select doc_id, round(prob, 6) as prob, cast(prob > 0.5 as integer) as label from nb")
 def batch_scoring(spark, d):
     """Every document, labelled or not, scored by the fitted model."""
