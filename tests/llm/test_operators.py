@@ -1,5 +1,6 @@
 """The operators of the llm subpackage against brute force and on odd inputs."""
 
+import math
 import random
 import zlib
 
@@ -347,6 +348,26 @@ def test_va_search_brute_force(spark):
     assert va_search.topk(d.limit(0), d).count() == 0
 
 
+def test_va_search_query_rows_that_repeat_and_large_components(spark, tmp_path):
+    """Every row but the query's own is a candidate, a copy under its id included; scores past 2^53 are exact."""
+    from quillspark.llm.queries import op6_va_file_topk
+
+    rng = np.random.default_rng(11)
+    v = [(i, [float(x) for x in rng.integers(-3_000_000, 3_000_000, 16)]) for i in range(120)]
+    v += [v[50], (50, v[3][1]), v[7], (130, [v[100][1][0] + 1 / 256, *v[100][1][1:]]), (150, [None, *v[1][1][1:]])]
+    v += [(200, [1.0] * 15 + [float("inf")]), (250, None)]
+    spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = op6_va_file_topk(spark, str(tmp_path)).collect()
+    good = [(i, [math.floor(256 * x) for x in e]) for i, e in v if e and None not in e and np.isfinite(e).all()]
+    want = []
+    for at, (i, x) in enumerate(good):
+        if i % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(x, y)), j) for other, (j, y) in enumerate(good) if other != at)[:5]
+            want += [(i, k + 1, j, -a) for k, (a, j) in enumerate(s)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+    assert any(a == b for a, _, b, _ in want) and max(s for *_, s in want) > 2**53
+
+
 def test_va_bounds_hold():
     rng = np.random.default_rng(8)
     x, q = rng.normal(size=(200, 9)), rng.normal(size=(20, 9))
