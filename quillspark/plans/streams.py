@@ -12,7 +12,7 @@ from .weak import NAMES, RULES, VOTES_SQL, _sum
 
 
 def _stream(spark, d, name):
-    return MO.file_stream(spark, d, table(spark, d, name).schema, pattern=f"{name}.parquet")
+    return MO.file_stream(spark, f"{d}/{name}.parquet", table(spark, d, name).schema)  # a file, or a folder of files
 
 
 def event_stream(spark, d):

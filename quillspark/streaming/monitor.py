@@ -21,7 +21,7 @@ from ..session import staging_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, *, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream."""
+    """A Parquet file, or those of a folder, as a stream."""
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -68,8 +68,10 @@ def per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, c
 
 
 def drain_per_batch(df: DataFrame, work: Callable[[DataFrame], DataFrame], name: str, schema: str) -> DataFrame:
+    """Run a stream over what has arrived, batch by batch, and return the rows; none without a batch."""
     spark = df.sparkSession
     root = staging_path(spark, name)
+    spark.createDataFrame([], schema).write.parquet(f"{root}/data/batch_id=-1")
     per_batch(df, work, f"{root}/data", f"{root}/checkpoint").awaitTermination()
     return spark.read.schema(schema + ", batch_id int").parquet(f"{root}/data")
 
