@@ -110,11 +110,22 @@ def add_emoji(text: Column, key: Column, table: Sequence[tuple[str, str]] = lx.E
     return out.otherwise(text)
 
 
+def _whole_lines(pattern: str) -> str:
+    """The same pattern, tried at line starts only, if it takes whole lines.
+
+    What begins and ends with ``(.*)`` matches from the start of a line to its
+    end or nowhere in it. Unanchored, a line without a match is scanned again
+    from each of its characters, which is quadratic in its length.
+    """
+    whole = re.fullmatch(r"\(\.\*\)([^\\?|]|\((?:[^\\?()]|\|)*\))*\(\.\*\)", pattern)
+    return "(?m)^" + pattern if whole else pattern
+
+
 def rewrite(text: Column, key: Column, rules: Sequence[tuple[str, str]] = lx.REWRITES, p: float = 0.3) -> Column:
     """Each regular-expression rewrite is applied with probability p."""
     out = text
     for j, (pattern, repl) in enumerate(rules):
-        out = F.when(chance(sub_key(key, "bt", j), p), F.regexp_replace(out, pattern, repl)).otherwise(out)
+        out = F.when(chance(sub_key(key, "bt", j), p), F.regexp_replace(out, _whole_lines(pattern), repl)).otherwise(out)
     return out
 
 
