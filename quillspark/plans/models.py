@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import balance as B, bayes as NB, features as FE, metrics as M, splits as SP
+from ..session import stage
 from .base import LAB, TOKENS, documents, h, labelled, query, rank, rounded, table
 
 VOCAB = 5000
@@ -42,8 +43,10 @@ select doc_id, count(*) as n_terms, cast(sum(tf) as bigint) as n_tokens, max(tf)
 )
 def bag(spark, d):
     docs = documents(spark, d)
-    tc = FE.term_counts(docs)
+    tc = stage(FE.term_counts(docs), "term-counts")  # read twice, cut once
     keep = FE.vocabulary(tc, min_df=2, max_df_share=0.5, n_docs=docs.agg(F.count("*").alias("n")).scalar()).select("term")
+    keep = stage(keep, "kept-terms")
+    keep = FE.bounded(keep, keep.count())
     return tc.join(keep, "term", "left_semi").groupBy("doc_id").agg(
         F.count("*").alias("n_terms"), F.sum("tf").alias("n_tokens"), F.max("tf").alias("top_tf")
     )
