@@ -12,7 +12,8 @@ from .weak import NAMES, RULES, VOTES_SQL, _sum
 
 
 def _stream(spark, d, name):
-    return MO.file_stream(spark, f"{d}/{name}.parquet", table(spark, d, name).schema)  # a file, or a folder of files
+    # A table is a file or a folder of files; a stream takes both by a pattern, and only folders by a plain path.
+    return MO.file_stream(spark, f"{d}/{name}.parque[t]", table(spark, d, name).schema)
 
 
 def event_stream(spark, d):

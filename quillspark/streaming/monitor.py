@@ -21,7 +21,7 @@ from ..session import staging_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, *, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """A Parquet file, or those of a folder, as a stream."""
+    """Parquet files of a folder, or of the files and folders that a glob pattern names, as a stream."""
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
