@@ -52,3 +52,19 @@ def test_queries_beside_the_corpus(spark):
     got = K.knn_join(spark.createDataFrame(q, "g string, id long, v array<float>"), d, 3, exclude_self=False, rows_per_cell=10).collect()
     assert {(r["query_id"], r["rank"], r["neighbor_id"]) for r in got} == brute(q, rows, 3, False)
     assert K.knn_join(d.limit(0), d, 3).count() == 0 and K.knn_join(d, d.limit(0), 3).count() == 0
+
+
+def test_registered_searches_ask_for_ids_divisible_by_50_against_all_rows(spark, tmp_path):
+    from quillspark.plans import QUERIES
+
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)], i % 3) for i in range(230)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    m = np.array([r[1] for r in rows], np.float32).astype(float)
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    want = []
+    for q in range(0, 230, 50):
+        s = sorted((-round(float(m[q] @ m[j]), 9), j) for j in range(230) if j != q)[:5]
+        want += [(q, k + 1, j) for k, (_, j) in enumerate(s)]
+    for name in ("ret_topk", "ret_topk_grid"):
+        assert sorted((r["query_id"], r["rank"], r["neighbor_id"]) for r in QUERIES[name](spark, str(tmp_path)).collect()) == want
