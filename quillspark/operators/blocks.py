@@ -4,8 +4,8 @@ A block is one row of a written table: term numbers and counts of some hundred
 documents over the joint vocabulary of all models, with a weight for each
 document and model. A pass reads every block once, whatever the number of
 models; a model's own vocabulary and idf are a row of a small table, so nothing
-is vectorised once per model. Sums travel as one array a task and meet in a
-second layer of tasks before they reach the driver.
+is vectorised once per model. Sums travel as one array a task and meet in
+further layers of tasks, so that one array reaches the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .vocabulary import code_rows, top_terms
 
 BLOCK = 1024  # documents in a block
 BLOCKS_PER_TASK = 4
+MAX_BLOCKS_PER_TASK = 16
+FAN = 32  # arrays of sums that one task adds up
 _BLOCK_DDL = "n int, ids binary, y binary, w binary, ends binary, code binary, tf binary"
 
 
@@ -57,7 +59,8 @@ class Blocks:
 
 
 def _read(batch: pa.RecordBatch, models: int) -> Iterator[Block]:
-    for r in batch.to_pylist():
+    for i in range(batch.num_rows):  # one block at a time is copied out of the batch
+        r = batch.slice(i, 1).to_pylist()[0]
         ids = np.frombuffer(r["ids"], np.int64)
         ends = np.frombuffer(r["ends"], np.int64)
         yield Block(
@@ -108,8 +111,13 @@ def build(
 
     written = stage(table.mapInArrow(run, _BLOCK_DDL), "blocks")
     # many passes over few blocks: some blocks a task (the count comes from the file footers)
-    tasks = max(1, -(-written.count() // BLOCKS_PER_TASK))
-    return Blocks(written.coalesce(tasks) if tasks < written.rdd.getNumPartitions() else written, names, terms, scale, unit)
+    count, parts = written.count(), written.rdd.getNumPartitions()
+    tasks = max(1, -(-count // BLOCKS_PER_TASK))
+    if tasks < parts:
+        written = written.coalesce(tasks)
+    elif count > MAX_BLOCKS_PER_TASK * parts:  # few large files: a task holds its blocks in one batch
+        written = written.repartition(-(-count // MAX_BLOCKS_PER_TASK))
+    return Blocks(written, names, terms, scale, unit)
 
 
 def total(blocks: Blocks, use: Callable[[Block], np.ndarray], size: int) -> np.ndarray:
@@ -132,8 +140,9 @@ def total(blocks: Blocks, use: Callable[[Block], np.ndarray], size: int) -> np.n
 
     parts = blocks.table.mapInArrow(part, "s binary")
     tasks = blocks.table.rdd.getNumPartitions()
-    if tasks > 64:
-        parts = parts.repartition(int(np.ceil(np.sqrt(tasks)))).mapInArrow(join, "s binary")
+    while tasks > 1:  # one array reaches the driver, whatever the number of blocks
+        tasks = -(-tasks // FAN)
+        parts = parts.repartition(tasks).mapInArrow(join, "s binary")
     return sum((np.frombuffer(r["s"]) for r in parts.collect()), np.zeros(size))
 
 

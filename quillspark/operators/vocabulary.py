@@ -24,6 +24,14 @@ from .ranking import top_n
 
 CAPACITY = 1 << 18  # terms in the summary of one task
 CANDIDATES_PER_FEATURE = 32
+ROWS_AT_ONCE = 1024  # token lists counted at once
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``ROWS_AT_ONCE`` rows, so that what is held beside a batch does not grow with it."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(first, ROWS_AT_ONCE)
 
 
 def _cut(summary: pa.Table, capacity: int) -> tuple[pa.Table, int]:
@@ -41,7 +49,7 @@ def summaries(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lost = pa.table({"term": pa.array([], pa.string()), "u": pa.array([], pa.int64())}), 0
-        for batch in batches:
+        for batch in slices(batches):
             tokens = batch.column("tokens")
             w = np.repeat(batch.column("w").to_numpy(), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy())
             new = pa.table({"term": tokens.flatten(), "u": pa.array(w)})
@@ -61,7 +69,7 @@ def _recount(rows: DataFrame, names: Sequence[str], terms: Sequence[str]) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         cnt, df = np.zeros((2, len(names), len(known)))
-        for batch in batches:
+        for batch in slices(batches):
             row, code, tf = code_rows(batch.column("tokens"), known)
             for i, name in enumerate(names):
                 w = batch.column(name).to_numpy()[row]
