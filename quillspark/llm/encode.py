@@ -19,6 +19,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: A space after a character that is no white space always begins a new pre-token.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s ")
+#: A line end between two such characters is a pre-token of its own, and the word behind it has no space.
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
+_SPACES = re.compile(r"\s\s")
 _LATIN = "\u0250"
 _LONG = 64
 _ENTRIES = 1_000_000
@@ -26,37 +29,71 @@ _SLICE = 256
 
 
 class _Words(dict):
-    """Ids of a space and a word, by word; a new word is encoded when it is asked for."""
+    """Ids of a space and a word, by word; a new word is encoded when it is asked for.
+
+    A word that begins with a line end has no space before it.
+    """
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.cut = regex.compile(PATTERN).findall
         self.parts: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         # the vocabulary writes each byte as one character; bytes above 127 appear in Latin letters
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.level = {}
         for i in range(ord(_LATIN)):
             self.level.update(zip(chr(i).encode(), shown(chr(i))[0][0]))
+        self.space = self.level[ord(" ")]
+        self.packed = [i.to_bytes(4, "little") for i in range(max(tokenizer.get_vocab().values(), default=0) + 1)]
+
+    def ids(self, shown: str) -> bytes:
+        """Ids of a pre-token in the characters of the vocabulary."""
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
+
+    def shown(self, pre_token: str) -> str:
+        return pre_token.encode().decode("latin-1").translate(self.level)
 
     def part(self, pre_token: str) -> bytes:
         """Ids of one pre-token of Latin letters, digits or signs."""
         got = self.parts.get(pre_token)
         if got is None:
-            tokens = self.model.tokenize(pre_token.encode().decode("latin-1").translate(self.level))
-            got = self.parts[pre_token] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+            got = self.parts[pre_token] = self.ids(self.shown(pre_token))
         return got
 
     def whole(self, text: str) -> bytes:
         got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(got.ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def first(self, word: str) -> bytes:
+        """Ids of the word that a text begins with: no space stands before it."""
         if not word or len(word) > _LONG or max(word) >= _LATIN:
+            return self.whole(word)
+        if word.isalpha():
+            return self.part(word)
+        return b"".join([self.part(p) for p in self.cut(word)])
+
+    def age(self) -> None:
+        """Forget the words that were not asked for since the last call."""
+        self.before = dict(self)
+        self.clear()
+
+    def __missing__(self, word: str) -> bytes:
+        if (got := self.before.get(word)) is not None:
+            self[word] = got
+            return got
+        if word[:1] == "\n":
+            got = self.part("\n") + self.first(word[1:])
+            if len(word) <= _LONG:
+                self[word] = got
+            return got
+        ascii_ = word.isascii()
+        if not word or len(word) > _LONG or (not ascii_ and max(word) >= _LATIN):
             return self.whole(" " + word)
         if word.isalpha():
-            tokens = self.model.tokenize((" " + word).encode().decode("latin-1").translate(self.level))
-            got = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+            got = self.ids(self.space + word if ascii_ else self.shown(" " + word))  # ASCII letters are shown as they are
         elif word[-1] in ".," and word[:-1].isalpha():
             got = self[word[:-1]] + self.part(word[-1])
         else:
@@ -84,15 +121,19 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is an empty text."""
         words, out = self.words, []
-        get, whole = words.__getitem__, words.whole
+        get, first = words.__getitem__, words.first
         for text in texts:
             if not text:
                 out.append(b"")
                 continue
-            pieces = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-            out.append(whole(pieces[0]) + b"".join(map(get, pieces[1:])))
-        if len(words) + len(words.parts) > self.entries:
-            words.clear()
+            if _SPACES.search(text) is None:
+                pieces = text.replace("\n", " \n").split(" ")
+            else:
+                pieces = _CUT.split(text) if " \n" in text or _RUN.search(text) else _LINE.sub(" \n", text).split(" ")
+            out.append(first(pieces[0]) + b"".join(map(get, pieces[1:])))
+        if len(words) > self.entries // 2:
+            words.age()
+        if len(words.parts) > self.entries // 4:
             words.parts.clear()
         return out
 

@@ -36,21 +36,22 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> lis
     rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     zeros, ones, spans, blocks, at = [], [], [], [], 0
     for plane in range(bits - 1, -1, -1):
-        bit = (rest >> plane) & 1 == 1
-        low = rest[~bit]
-        zeros.append(len(low))
-        rest = np.concatenate([low, rest[bit]])
-        before = 0
-        for start in range(0, len(bit), BLOCK):
-            part = bit[start : start + BLOCK]
-            raw = np.packbits(part, bitorder="little").tobytes()
+        low, high, before = [], [], 0
+        for start in range(0, len(rest), BLOCK):  # a block and its places stay in the cache
+            part = rest[start : start + BLOCK]
+            bit = part & part.dtype.type(1 << plane) != 0
+            raw = np.packbits(bit, bitorder="little").tobytes()
             small = zstd.compress(raw)
             kept = small if len(small) < len(raw) else raw
             ones.append(before)
             spans.append((at, len(kept), len(kept) == len(raw)))
-            before += int(part.sum())
             at += len(kept)
             blocks.append(kept)
+            high.append(part.take(np.flatnonzero(bit)))
+            low.append(part.take(np.flatnonzero(~bit)))
+            before += len(high[-1])
+        zeros.append(len(rest) - before)
+        rest = np.concatenate(low + high) if low else rest
     table = [
         np.array(ones, "<i8").tobytes(), np.array(spans, "<i8").tobytes(),
         np.array([x is None for x in doc_ids], "u1").tobytes(), np.array([x or 0 for x in doc_ids], "<i8").tobytes(), np.array(lengths, "<i8").tobytes(),
@@ -150,19 +151,21 @@ class WaveletFile:
         """All places of a token, in order."""
         return (self.select(token, k) for k in range(self.count(token)))
 
-    def _plane(self, plane: int) -> np.ndarray:
-        return np.concatenate([self._block(plane, k) for k in range(self._per)]) if self._per else np.zeros(0, "u1")
-
     def decode(self) -> np.ndarray:
         """All tokens, from the lowest plane up."""
-        values = np.zeros(self.tokens, "<u4")
+        values = np.zeros(self.tokens, "<u2" if self.bits <= 16 else "<u4")
         for plane in range(self.bits - 1, -1, -1):
-            bit = self._plane(plane) == 1
+            zeros, one = self.zeros[plane], values.dtype.type(1 << (self.bits - 1 - plane))
+            values[zeros:] |= one
             above = np.empty_like(values)
-            above[~bit] = values[: self.zeros[plane]]
-            above[bit] = values[self.zeros[plane] :] | np.uint32(1 << (self.bits - 1 - plane))
+            for k in range(self._per):
+                bit, before = self._block(plane, k).view(bool), int(self._ones[plane, k])
+                part = above[k * BLOCK : k * BLOCK + len(bit)]
+                high, low = np.flatnonzero(bit), np.flatnonzero(~bit)
+                part[high] = values[zeros + before : zeros + before + len(high)]
+                part[low] = values[k * BLOCK - before : k * BLOCK - before + len(low)]
             values = above
-        return values
+        return values.astype("<u4")
 
 
 # --- writing and reading on Spark ----------------------------------------------------

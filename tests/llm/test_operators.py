@@ -253,6 +253,36 @@ def test_wavelet_matrix_access_count_select():
             assert [f.select(token, k) for k in range(min(3, len(places)))] == places[:3].tolist()
 
 
+def test_wavelet_planes_equal_bit_by_bit(monkeypatch):
+    monkeypatch.setattr(wavelet, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    for n, top in ((1, 2), (64, 5), (1000, 50_000), (333, 70_000)):
+        ids = rng.integers(0, top, n).astype("<u4")
+        f = wavelet.WaveletFile(b"".join(wavelet.build(ids, [1], [n])))
+        rest = ids.tolist()
+        for plane in range(f.bits):
+            bits = [x >> (f.bits - 1 - plane) & 1 for x in rest]
+            assert [int(b) for k in range(f._per) for b in f._block(plane, k)] == bits and f.zeros[plane] == bits.count(0)
+            assert f._ones[plane].tolist() == [sum(bits[:k]) for k in range(0, n, 64)]
+            rest = [x for x, b in zip(rest, bits) if not b] + [x for x, b in zip(rest, bits) if b]
+        assert f.decode().dtype == np.uint32 and f.decode().tolist() == ids.tolist()
+
+
+def test_first_words_are_encoded_once():
+    enc, calls = encode.Encoder(tokenizer_file()), []
+    whole = enc.words.whole
+    enc.words.whole = lambda text: calls.append(text) or whole(text)
+    texts = ["Alpha beta", "Alpha, gamma's 12", "\nÉté 3x", "...a b", "'s x", "Alpha\n", "<|endoftext|> y", "  two"] * 3
+    got = [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts)]
+    tok = enc.tokenizer
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [c for c in calls if c.strip()] == []
+    small = encode.Encoder(tokenizer_file(), entries=4)  # forgets all the time
+    assert [np.frombuffer(small.encode([t])[0], "<u4").tolist() for t in texts] == got
+    for odd in ("", " x", "日本 x", "a" * 70 + " b", "\u200bx y", "ſ's Ǆx", "a \nb c\nd", "a\nb c\n\nd\n", "a\nb  c\nd", "\na\n", "a\n日 b\n's", "x\n" + "a" * 70 + "\n.y"):
+        assert np.frombuffer(enc.encode([odd])[0], "<u4").tolist() == tok.encode(odd, add_special_tokens=False).ids
+
+
 def test_token_files_round_trip(spark):
     d = docs(spark, ODD + ["word " * 50] * 4).union(spark.createDataFrame([(None, "null id", None, None, 1), (3, "one", None, None, 3)], DOCS))
     files = wavelet.write_token_files(d, tokenizer_file(), 2, range_bytes=2000, file_tokens=500)
