@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -24,27 +25,50 @@ BLOCK = 1024  # documents in a block
 BLOCKS_PER_TASK = 4
 MAX_BLOCKS_PER_TASK = 16
 FAN = 32  # arrays of sums that one task adds up
-_BLOCK_DDL = "n int, ids binary, y binary, w binary, ends binary, code binary, tf binary"
+_BLOCK_DDL = "n int, ids binary, y binary, w binary, norm binary, ends binary, code binary, tf binary"
 
 
 @dataclass
 class Block:
-    """Arrays of one block: ids, labels, weights (model, row), and (row, code, tf) of its cells."""
+    """Arrays of one block: ids, labels, weights and lengths (model, row), where the cells of a row end, and their code and tf."""
 
     ids: np.ndarray
     y: np.ndarray
     w: np.ndarray
-    row: np.ndarray
+    norm: np.ndarray
+    ends: np.ndarray
     code: np.ndarray
     tf: np.ndarray
 
+    @cached_property
+    def row(self) -> np.ndarray:
+        return self.to_cells(np.arange(len(self.ids)))
+
+    def to_cells(self, x: np.ndarray) -> np.ndarray:
+        """The number of each row at all its cells."""
+        return np.repeat(x, np.diff(self.ends))
+
+    def by_row(self, x: np.ndarray) -> np.ndarray:
+        """Sums over the cells of each row."""
+        return by_row(x, self.ends)
+
     def values(self, scale: np.ndarray, unit: bool) -> np.ndarray:
         """The cells under a model's term weights, each document at unit length if asked."""
         v = self.tf * scale[self.code]
-        if not unit:
-            return v
-        norm = np.sqrt(np.bincount(self.row, v * v, len(self.ids)))
-        return v / np.where(norm > 0, norm, 1.0)[self.row]
+        return v / self.to_cells(lengths(v, self.ends)) if unit else v
+
+
+def by_row(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    out, filled = np.zeros(len(ends) - 1), np.flatnonzero(np.diff(ends))
+    if len(filled):
+        out[filled] = np.add.reduceat(x, ends[filled])
+    return out
+
+
+def lengths(v: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Length of each row; 1 for rows of nothing."""
+    norm = np.sqrt(by_row(v * v, ends))
+    return np.where(norm > 0, norm, 1.0)
 
 
 @dataclass
@@ -65,7 +89,8 @@ def _read(batch: pa.RecordBatch, models: int) -> Iterator[Block]:
         ends = np.frombuffer(r["ends"], np.int64)
         yield Block(
             ids, np.frombuffer(r["y"], np.int64), np.frombuffer(r["w"], np.float64).reshape(models, len(ids)),
-            np.repeat(np.arange(len(ids)), np.diff(ends)), np.frombuffer(r["code"], np.int32), np.frombuffer(r["tf"], np.int32).astype(np.float64),
+            np.frombuffer(r["norm"], np.float64).reshape(models, len(ids)), ends,
+            np.frombuffer(r["code"], np.int32).astype(np.intp), np.frombuffer(r["tf"], np.int32).astype(np.float64),
         )
 
 
@@ -94,19 +119,21 @@ def build(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(label).cast("long"), F.lit(-1)).alias("y"), F.col(tokens).alias("tokens"),
         F.array(*[F.coalesce(fit[n].cast("double"), F.lit(0.0)) for n in names]).alias("w"),
     )
-    shared = docs.sparkSession.sparkContext.broadcast(pa.array(terms, pa.string()))
+    shared = docs.sparkSession.sparkContext.broadcast((pa.array(terms, pa.string()), scale))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, by_model = shared.value
         for batch in batches:
             for first in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(first, BLOCK)
-                row, code, tf = code_rows(part.column("tokens"), shared.value)
+                row, code, tf = code_rows(part.column("tokens"), known)
                 ends = np.searchsorted(row, np.arange(part.num_rows + 1))
                 w = np.ascontiguousarray(part.column("w").flatten().to_numpy().reshape(part.num_rows, len(names)).T)
-                cells = [part.column("id").to_numpy(), part.column("y").to_numpy(), w, ends.astype(np.int64), code.astype(np.int32), tf.astype(np.int32)]
+                norm = np.stack([lengths(tf * x[code], ends) if unit else np.ones(part.num_rows) for x in by_model])
+                cells = [part.column("id").to_numpy(), part.column("y").to_numpy(), w, norm, ends.astype(np.int64), code.astype(np.int32), tf.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part.num_rows], pa.int32()), *[pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in cells]],
-                    ["n", "ids", "y", "w", "ends", "code", "tf"],
+                    ["n", "ids", "y", "w", "norm", "ends", "code", "tf"],
                 )
 
     written = stage(table.mapInArrow(run, _BLOCK_DDL), "blocks")

@@ -34,12 +34,20 @@ class Machines:
     converged: np.ndarray
 
 
-def _margin(block: Block, v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.bincount(block.row, v * w[:-1][block.code], len(block.ids)) + w[-1]
+def _margin(block: Block, m: int, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Margins under the weights of model ``m``; term weights are multiplied per term and lengths per row, not per cell."""
+    return block.by_row(block.tf * (scale * w[:-1])[block.code]) / block.norm[m] + w[-1]
 
 
-def _spread(block: Block, v: np.ndarray, per_row: np.ndarray, size: int) -> np.ndarray:
-    return np.append(np.bincount(block.code, v * per_row[block.row], size - 1), per_row.sum())
+def _spread(block: Block, m: int, scale: np.ndarray, per_row: np.ndarray) -> np.ndarray:
+    """Sums of the rows' numbers times their cells, by term, and for the bias."""
+    sums = np.bincount(block.code, block.tf * block.to_cells(per_row / block.norm[m]), len(scale))
+    return np.append(scale * sums, per_row.sum())
+
+
+def _spread_squares(block: Block, m: int, scale: np.ndarray, per_row: np.ndarray) -> np.ndarray:
+    sums = np.bincount(block.code, block.tf * block.tf * block.to_cells(per_row / block.norm[m] ** 2), len(scale))
+    return np.append(scale * scale * sums, per_row.sum())
 
 
 def fit(
@@ -63,7 +71,7 @@ def fit(
 def _fit(blocks: Blocks, cost: float | Sequence[float], of: Sequence[int] | None, tolerance: float, max_iter: int, cg_steps: int) -> Machines:
     of = list(range(len(blocks.models))) if of is None else list(of)
     c = np.broadcast_to(np.asarray(cost, float), (len(of),)).copy()
-    k, size, scale, unit = len(of), len(blocks.terms) + 1, blocks.scale, blocks.unit
+    k, size, scale = len(of), len(blocks.terms) + 1, blocks.scale
 
     def classes(block: Block) -> np.ndarray:
         return np.array([[block.w[m][block.y == y].sum() for y in (0, 1)] for m in of]).ravel()
@@ -77,12 +85,12 @@ def _fit(blocks: Blocks, cost: float | Sequence[float], of: Sequence[int] | None
             out = np.zeros((k, 1 + 2 * size))
             y, known = 2.0 * block.y - 1.0, (block.y == 0) | (block.y == 1)
             for i in np.flatnonzero(on):
-                v = block.values(scale[of[i]], unit)
-                gap = np.where(known, np.maximum(0.0, 1.0 - y * _margin(block, v, w[i])), 0.0)
-                pull = block.w[of[i]] * gap
+                m = of[i]
+                gap = np.where(known, np.maximum(0.0, 1.0 - y * _margin(block, m, scale[m], w[i])), 0.0)
+                pull = block.w[m] * gap
                 out[i, 0] = c[i] * (pull * gap).sum()
-                out[i, 1 : size + 1] = _spread(block, v, -2.0 * c[i] * pull * y, size)
-                out[i, size + 1 :] = _spread(block, v * v, np.where(gap > 0, 2.0 * c[i] * block.w[of[i]], 0.0), size)
+                out[i, 1 : size + 1] = _spread(block, m, scale[m], -2.0 * c[i] * pull * y)
+                out[i, size + 1 :] = _spread_squares(block, m, scale[m], np.where(gap > 0, 2.0 * c[i] * block.w[m], 0.0))
             return out.ravel()
 
         got = total(blocks, use, k * (1 + 2 * size)).reshape(k, 1 + 2 * size)
@@ -93,9 +101,9 @@ def _fit(blocks: Blocks, cost: float | Sequence[float], of: Sequence[int] | None
             out = np.zeros((k, size))
             y, known = 2.0 * block.y - 1.0, (block.y == 0) | (block.y == 1)
             for i in np.flatnonzero(on):
-                v = block.values(scale[of[i]], unit)
-                short = known & (y * _margin(block, v, w[i]) < 1.0)
-                out[i] = _spread(block, v, np.where(short, 2.0 * c[i] * block.w[of[i]] * _margin(block, v, d[i]), 0.0), size)
+                m = of[i]
+                short = known & (y * _margin(block, m, scale[m], w[i]) < 1.0)
+                out[i] = _spread(block, m, scale[m], np.where(short, 2.0 * c[i] * block.w[m] * _margin(block, m, scale[m], d[i]), 0.0))
             return out.ravel()
 
         return total(blocks, use, k * size).reshape(k, size) + d
@@ -150,10 +158,10 @@ def _fit(blocks: Blocks, cost: float | Sequence[float], of: Sequence[int] | None
 def margins(blocks: Blocks, machines: Machines, columns: Sequence[str], *, of: Sequence[int] | None = None) -> DataFrame:
     """(id, y, columns): the margin of every document under every machine."""
     of = [blocks.models.index(m) for m in machines.models] if of is None else list(of)
-    w, scale, unit = machines.w, blocks.scale, blocks.unit
+    w, scale = machines.w, blocks.scale
 
     def use(block: Block) -> np.ndarray:
-        return np.stack([_margin(block, block.values(scale[m], unit), w[i]) for i, m in enumerate(of)])
+        return np.stack([_margin(block, m, scale[m], w[i]) for i, m in enumerate(of)])
 
     return each_row(blocks, use, columns)
 

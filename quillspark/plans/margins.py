@@ -1,6 +1,6 @@
 """Queries: term selection over word pairs, TF-IDF Naive Bayes and support vector machines, all models in the same passes."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.text import ngrams_1_2, tokenize
 from ..operators import balance as B, bayes as NB, blocks as BL, features as FE, metrics as M, splits as SP, svm as SV, tfidf_bayes as TB
@@ -201,25 +201,37 @@ def svm_optimality(spark, d):
     kept = stage(SV.coefficients(spark, machines, blocks.scale), "coefficients")
     at = {n: i for i, n in enumerate(names)}
     idf = stage(spark.createDataFrame([(n, t, float(blocks.scale[at[n], j])) for n in names for j, t in enumerate(blocks.terms) if blocks.scale[at[n], j] > 0], "model string, term string, idf double"), "idf")
-    long = rows.select("doc_id", "label", "tokens", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("copies"), weights[n].alias("c")) for n in names])).alias("m"))
-    long = long.select("doc_id", "label", "tokens", "m.*").where("copies > 0")
-    tf = long.select("doc_id", "model", F.explode("tokens").alias("term")).groupBy("doc_id", "model", "term").agg(F.count("*").alias("tf"))
-    cells = tf.join(idf, ["model", "term"]).join(kept, ["model", "term"]).withColumn("v", F.col("tf") * F.col("idf"))
-    cells = stage(cells.select("doc_id", "model", "term", "v", "weight"), "cells")
-    per = cells.groupBy("doc_id", "model").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.sum(F.col("v") * F.col("weight")).alias("vw"))
-    bias = kept.where("term is null").select("model", F.col("weight").alias("bias"))
+
+    def by_model(table_, value):
+        return table_.groupBy("term").agg(*[F.max(F.when(F.col("model") == n, F.col(value))).alias(f"{value}_{n}") for n in names])
+
+    wide = F.broadcast(by_model(kept, "weight").join(by_model(idf, "idf"), "term", "left"))  # a row for each term of the capped vocabularies
+    # the rows of a document stay together: its cells are counted, joined, summed and spread without another shuffle; a null term is the bias
     y = 2.0 * F.col("label") - 1.0
-    pulls = long.select("doc_id", "model", "label", "c").join(per, ["doc_id", "model"], "left").join(F.broadcast(bias), "model")
-    margin = F.coalesce(F.col("vw") / F.col("norm"), F.lit(0.0)) + F.col("bias")
-    pulls = pulls.select("doc_id", "model", "norm", (-2.0 * F.col("c") * F.greatest(F.lit(0.0), 1.0 - y * margin) * y).alias("pull"), (-2.0 * F.col("c") * y).alias("pull0"))
-    pulls = stage(pulls, "pulls")
-    of_terms = cells.join(pulls, ["doc_id", "model"]).groupBy("model", "term", "weight").agg(
-        F.sum(F.col("pull") * F.col("v") / F.col("norm")).alias("g"), F.sum(F.col("pull0") * F.col("v") / F.col("norm")).alias("g0")
-    )
-    of_bias = pulls.groupBy("model").agg(F.sum("pull").alias("g"), F.sum("pull0").alias("g0")).join(bias, "model").select("model", F.col("bias").alias("weight"), "g", "g0")
-    g = of_terms.select("model", "weight", "g", "g0").unionByName(of_bias.select("model", "weight", "g", "g0"))
-    norms = g.groupBy("model").agg(F.sqrt(F.sum((F.col("g") + F.col("weight")) ** 2)).alias("end"), F.sqrt(F.sum(F.col("g0") ** 2)).alias("start"))
-    sizes = long.groupBy("model").agg(F.sum("copies").alias("n_train"))
+    pulls0 = [F.when(F.col(n) > 0, -2.0 * weights[n] * y).alias(f"pull0_{n}") for n in names]
+    with_bias = F.array_append(F.coalesce("tokens", F.array().cast("array<string>")), F.lit(None))
+    docs = rows.select(F.monotonically_increasing_id().alias("row"), with_bias.alias("tokens"), y.alias("y"), *pulls0)
+    keys = ["row", "y", *[f"pull0_{n}" for n in names]]
+    docs = docs.where(F.coalesce(*keys[2:]).isNotNull())
+    tf = docs.repartition("row").select(*keys, F.explode("tokens").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    cells = tf.join(wide.withColumnRenamed("term", "known"), F.col("term").eqNullSafe(F.col("known")))
+    cells = cells.withColumns({f"v_{n}": F.col("tf") * F.col(f"idf_{n}") for n in names})
+    sums, of_term = {}, []
+    for n in names:
+        v, weight = F.col(f"v_{n}"), F.col(f"weight_{n}")
+        sums |= {f"norm_{n}": F.sqrt(F.sum(v * v).over(Window.partitionBy("row"))), f"vw_{n}": F.sum(v * weight).over(Window.partitionBy("row"))}
+        sums[f"bias_{n}"] = F.max(F.when(F.col("term").isNull(), weight)).over(Window.partitionBy("row"))
+    cells = cells.withColumns(sums)
+    for n in names:
+        margin = F.coalesce(F.col(f"vw_{n}") / F.col(f"norm_{n}"), F.lit(0.0)) + F.col(f"bias_{n}")
+        x = F.when(F.col("term").isNull(), F.lit(1.0)).otherwise(F.col(f"v_{n}") / F.col(f"norm_{n}"))
+        pull0 = F.col(f"pull0_{n}")
+        of_term += [F.sum(pull0 * F.greatest(F.lit(0.0), 1.0 - F.col("y") * margin) * x).alias(f"g_{n}"), F.sum(pull0 * x).alias(f"g0_{n}"), F.first(f"weight_{n}").alias(f"weight_{n}")]
+    g = cells.groupBy("term").agg(*of_term)
+    norms = g.agg(*[F.struct(F.sqrt(F.sum((F.col(f"g_{n}") + F.col(f"weight_{n}")) ** 2)).alias("end"), F.sqrt(F.sum(F.col(f"g0_{n}") ** 2)).alias("start")).alias(n) for n in names])
+    norms = norms.select(F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"{n}.end").alias("end"), F.col(f"{n}.start").alias("start")) for n in names])).alias("m")).select("m.*")
+    sizes = rows.agg(*[F.sum(F.when(F.col(n) > 0, F.col(n))).alias(n) for n in names])
+    sizes = sizes.select(F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("n_train")) for n in names])).alias("m")).select("m.*").where("n_train is not null")
     return sizes.join(norms, "model").select("model", "n_train", (F.col("end") <= 2 * TOLERANCE * F.col("start")).alias("optimal"))
 
 
