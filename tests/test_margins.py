@@ -101,6 +101,35 @@ def test_machines_reach_their_optimum(spark):
         assert max(abs(scored[r[0]][f"m{i}"] - m) for r, m in zip(rows, want)) < 1e-5
 
 
+def test_lengths_and_sums_by_row_of_blocks(spark):
+    rows = rows_of()
+    d = spark.createDataFrame(rows, DDL).repartition(3)
+    blocks = BL.build(d, {"a": F.col("a"), "b": F.col("b")}, 20)
+    norms = BL.each_row(blocks, lambda block: block.norm, ["a", "b"])
+    got = {r["id"]: (r["a"], r["b"]) for r in norms.collect()}
+    scale = {m: dict(zip(blocks.terms, blocks.scale[i])) for i, m in enumerate(blocks.models)}
+    for r in rows:
+        want = [math.sqrt(sum((n * s.get(t, 0.0)) ** 2 for t, n in Counter(r[2] or []).items())) or 1.0 for s in (scale["a"], scale["b"])]
+        assert got[r[0]] == pytest.approx(want)
+    assert BL.by_row(np.array([1.0, 2.0, 4.0]), np.array([0, 0, 2, 2, 3, 3])).tolist() == [0, 3, 0, 4, 0]
+    assert BL.by_row(np.array([]), np.array([0, 0])).tolist() == [0]
+
+
+def test_optimality_takes_each_row_by_itself(spark, tmp_path, monkeypatch):
+    """Two texts under one id are two rows of the fit; their cells are not written once for each model."""
+    from quillspark.plans import margins as P
+
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choice(["good", "bad", "fine", "poor", "aa", "bb", "cc", "dd"][k % 2 :: 2] + ["ee", "ff"]) for _ in range(rng.randrange(1, 9))), "en", "s", k % 2) for k, i in enumerate([*range(60), 60, 60])]
+    spark.createDataFrame([x[:4] for x in docs], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(61)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    staged, stage = [], P.stage
+    monkeypatch.setattr(P, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    got = P.svm_optimality(spark, str(tmp_path)).collect()
+    assert len(got) == 5 and all(r["optimal"] and r["n_train"] > 0 for r in got)
+    assert set(staged) == {"svm-folds", "coefficients", "idf"}
+
+
 def test_groups_of_one_class_are_reported(spark):
     rows = [(i, i % 2, ["good" if i % 2 else "bad", "x"], 1, 1) for i in range(12)] + [(20 + i, 1, ["good"], 2, 1) for i in range(3)]
     d = spark.createDataFrame(rows + [(40, 0, ["bad"], None, 1), (41, 1, ["good"], None, 1)], DDL)
