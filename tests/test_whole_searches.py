@@ -32,14 +32,14 @@ def expected(name, d):
 
 
 @pytest.mark.parametrize(
-    "name", ["ret_topk", "ret_topk_grid", "ret_knn_vote", "ret_error_cases", "ret_satisfaction", "ret_satisfaction_rate", "prompt_error_cases"]
+    "name", ["ret_topk", "ret_topk_grid", "ret_knn_vote", "ret_error_cases", "ret_satisfaction", "ret_satisfaction_rate", "prompt_error_cases", "ret_hybrid"]
 )
 def test_every_vector_is_asked_for(spark, tables, name):
     names, want = expected(name, tables)
     got = sorted(tuple(r[c] for c in names) for r in QUERIES[name](spark, tables).collect())
     assert got == want
     asked = {r[names.index("query_id")] for r in got} if "query_id" in names else set()
-    if name in ("ret_topk", "ret_topk_grid", "ret_knn_vote"):
+    if name in ("ret_topk", "ret_topk_grid", "ret_knn_vote", "ret_hybrid"):
         assert asked == set(IDS)
     elif name == "ret_satisfaction_rate":
         assert got[0][names.index("n_queries")] > 6
